@@ -11,15 +11,43 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file is; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_frames import token_files
+
+    return token_files(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=2)
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bottomk_dedup import near_duplicates
 
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .separator_scan import token_counts
+
+    return token_counts(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=50256)
+
+
+def op10_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe_segment_tree import bpe_round_trip
+
+    return bpe_round_trip(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_frames": op1_token_frames,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
+        "op7_separator_scan": op7_separator_scan,
+        "op10_bpe_segment_tree": op10_bpe_segment_tree,
     }
 
 
