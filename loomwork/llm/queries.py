@@ -24,6 +24,12 @@ def op1_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=2)
 
 
+def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_crf import quality_scores
+
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bottomk_dedup import near_duplicates
 
@@ -36,6 +42,12 @@ def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=50256)
 
 
+def op9_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii_crf import find_pii
+
+    return find_pii(_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe_segment_tree import bpe_round_trip
 
@@ -45,8 +57,10 @@ def op10_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_frames": op1_token_frames,
+        "op3_quality_crf": op3_quality_crf,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
         "op7_separator_scan": op7_separator_scan,
+        "op9_pii_crf": op9_pii_crf,
         "op10_bpe_segment_tree": op10_bpe_segment_tree,
     }
 
