@@ -348,7 +348,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
 def without_pii(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with their spans of personal data replaced; a null text stays null."""
     model = _trained(docs.sparkSession)
-    place = docs.columns.index("text")
+    names = docs.columns
+    place = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -356,7 +357,7 @@ def without_pii(docs: DataFrame) -> DataFrame:
                 clean = [redact(t, f) for t, (_, f) in zip(texts, find_all(texts, model.value), strict=True)]
                 columns = list(piece.columns)
                 columns[place] = pa.array([None if old is None else new for old, new in zip(piece.column("text").to_pylist(), clean, strict=True)], pa.string())
-                yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     fields = [T.StructField("text", T.StringType()) if f.name == "text" else f for f in docs.schema.fields]
     return docs.mapInArrow(run, T.StructType(fields))

@@ -201,6 +201,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = THR
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.withColumn("held_out", F.coalesce(held_out(F.col("doc_id")), F.lit(False))) if keep else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, held_out boolean, score double, predicted int"
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,7 +209,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = THR
                 score = shared.value.scores(piece.column("text")) if shared.value else np.full(piece.num_rows, 0.5)
                 found = [pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32), pa.int32())]
                 if keep:
-                    yield pa.RecordBatch.from_arrays([piece.column(c) for c in docs.columns] + found, names=[*docs.columns, "score", "predicted"])
+                    yield pa.RecordBatch.from_arrays([piece.column(c) for c in names] + found, names=[*names, "score", "predicted"])
                 else:
                     yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("held_out"), *found], names=["doc_id", "held_out", "score", "predicted"])
 
