@@ -42,6 +42,12 @@ def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=50256)
 
 
+def op8_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_quotas
+
+    return mix_quotas(_table(spark, sf_dir, "documents"))
+
+
 def op9_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii_crf import find_pii
 
@@ -60,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_crf": op3_quality_crf,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
         "op7_separator_scan": op7_separator_scan,
+        "op8_sainte_lague_mix": op8_sainte_lague_mix,
         "op9_pii_crf": op9_pii_crf,
         "op10_bpe_segment_tree": op10_bpe_segment_tree,
     }
