@@ -24,6 +24,12 @@ def op1_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=2)
 
 
+def op2_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .kmeans_tree import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_crf import quality_scores
 
@@ -63,6 +69,7 @@ def op10_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_frames": op1_token_frames,
+        "op2_kmeans_tree": op2_kmeans_tree,
         "op3_quality_crf": op3_quality_crf,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
         "op7_separator_scan": op7_separator_scan,
