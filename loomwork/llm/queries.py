@@ -36,6 +36,12 @@ def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .gif_media import text_media
+
+    return text_media(_table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bottomk_dedup import near_duplicates
 
@@ -71,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_frames": op1_token_frames,
         "op2_kmeans_tree": op2_kmeans_tree,
         "op3_quality_crf": op3_quality_crf,
+        "op4_gif_media": op4_gif_media,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
         "op7_separator_scan": op7_separator_scan,
         "op8_sainte_lague_mix": op8_sainte_lague_mix,
