@@ -42,6 +42,14 @@ def op4_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_media(_table(spark, sf_dir, "documents"))
 
 
+def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .preference import parroting, preference_pairs, spans_text
+
+    said = _table(spark, sf_dir, "conversations")
+    pairs = preference_pairs(said.withColumnRenamed("conv_id", "pair_id"), parroting(said).withColumnRenamed("conv_id", "pair_id"))
+    return pairs.withColumns({c: spans_text(pairs[c]) for c in ("chosen_spans", "rejected_spans")})
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bottomk_dedup import near_duplicates
 
@@ -78,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_kmeans_tree": op2_kmeans_tree,
         "op3_quality_crf": op3_quality_crf,
         "op4_gif_media": op4_gif_media,
+        "op5_preference_pairs": op5_preference_pairs,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
         "op7_separator_scan": op7_separator_scan,
         "op8_sainte_lague_mix": op8_sainte_lague_mix,
@@ -87,4 +96,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .preference import SQL
+
+    return {"op5_preference_pairs": SQL}
