@@ -55,7 +55,7 @@ def _sets(column: pa.Array, width: int) -> list[np.ndarray]:
     return [np.unique(shingles[bounds[i] : bounds[i + 1]]) for i in range(len(words) - 1)]
 
 
-def _in_pieces(batch: pa.RecordBatch, most_bytes: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def _in_pieces(batch: pa.RecordBatch, most_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts together stay near ``most_bytes``."""
     lengths = np.diff(flat_bytes(batch.column("text"))[1])
     piece = np.cumsum(lengths) // most_bytes

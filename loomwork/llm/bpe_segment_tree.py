@@ -23,7 +23,7 @@ from .library_encoder import byte_characters, keep, text_groups
 
 NO_MERGE = 1 << 60
 #: Entries of each cache, and characters of a piece that is kept.
-PIECES, WORDS, KEPT_CHARS = 300_000, 800_000, 40
+PIECES, WORDS, KEPT_CHARS = 150_000, 250_000, 40
 
 #: White space of the Unicode standard; Python's split() also takes 0x1C-0x1F.
 _SPACES = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")

@@ -141,7 +141,7 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0
 
 
-def _pieces(batch: pa.RecordBatch, most_bytes: int = 4_000_000):
+def _pieces(batch: pa.RecordBatch, most_bytes: int = 2_000_000):
     lengths = np.diff(flat_bytes(batch.column("text"))[1])
     cut = np.cumsum(lengths) // most_bytes
     edges = [0, *(np.flatnonzero(np.diff(cut)) + 1), batch.num_rows]

@@ -87,7 +87,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         # Pieces whose powers stay in the tables; a piece ends where a word does.
         first = 0
         while first < len(starts):
-            last = int(np.searchsorted(ends, starts[first] + 4_000_000, side="right"))
+            last = int(np.searchsorted(ends, starts[first] + 1_000_000, side="right"))
             last = max(last, first + 1)
             low, high = int(starts[first]), int(ends[last - 1])
             _grow(high - low + 1)
