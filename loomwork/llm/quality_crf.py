@@ -189,35 +189,39 @@ def learn(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_PER_CLA
     return fit(x, np.concatenate(lengths), lines, np.array([r.quality for r in found]), counts[1] / (counts[0] + counts[1]))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, per_class: int = SAMPLE_PER_CLASS, keep: bool = False) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row of ``docs``; with ``keep``, score and predicted beside the rows' own columns.
+def _scored(batches: Iterator[pa.RecordBatch], model: QualityModel | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    for batch in batches:
+        for piece in _pieces(batch):
+            yield piece, model.scores(piece.column("text")) if model else np.full(piece.num_rows, 0.5)
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row of ``docs`` (doc_id, text).
 
     Null texts count as empty: one line without words, scored as such.  A null
-    doc_id is not held out (null crc32).  Labels that contradict each other,
-    repeat or lack a document are left out.  If a class has no labelled row, all
-    scores are 0.5.  Labels and other columns never enter a score.
+    doc_id is not held out.  Labels that contradict each other, repeat or lack a
+    document are left out.  If a class has no labelled row, all scores are 0.5.
+    Labels and other columns never enter a score.
     """
-    model = learn(docs, labels, per_class=per_class)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.withColumn("held_out", F.coalesce(held_out(F.col("doc_id")), F.lit(False))) if keep else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, held_out boolean, score double, predicted int"
-    names = docs.columns
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, per_class=per_class))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in _pieces(batch):
-                score = shared.value.scores(piece.column("text")) if shared.value else np.full(piece.num_rows, 0.5)
-                found = [pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32), pa.int32())]
-                if keep:
-                    yield pa.RecordBatch.from_arrays([piece.column(c) for c in names] + found, names=[*names, "score", "predicted"])
-                else:
-                    yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("held_out"), *found], names=["doc_id", "held_out", "score", "predicted"])
-
-    if keep:
-        from pyspark.sql import types as T
-
-        schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return source.mapInArrow(run, schema)
+        for piece, score in _scored(batches, shared.value):
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("held_out"), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32), pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, with their own columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, per_class=per_class))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, score in _scored(batches, shared.value):
+            yield piece.filter(pa.array(score >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def crc_fold(doc_id: int) -> int:

@@ -96,6 +96,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from .preference import SQL
+    from . import bottomk_dedup, preference
 
-    return {"op5_preference_pairs": SQL}
+    return {"op5_preference_pairs": preference.SQL, "op6_minhash_near_dedup": bottomk_dedup.SQL}

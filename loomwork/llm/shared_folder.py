@@ -41,13 +41,6 @@ def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a path of the shared folder through Hadoop's file system."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def open_fs(uri: str):
     """The pyarrow file system of a URI and the path in it; works in executors."""
     from pyarrow import fs
