@@ -15,15 +15,14 @@ from loomwork.llm.bottomk_dedup import near_duplicates
 from loomwork.llm.bpe_segment_tree import bpe_round_trip
 from loomwork.llm.mixing import mix_documents
 from loomwork.llm.pii_crf import without_pii
-from loomwork.llm.quality_crf import quality_scores
+from loomwork.llm.quality_crf import accepted
 from loomwork.llm.queries import tokenizer_file
 from loomwork.llm.shared_folder import written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier accepts."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality_scores(docs, labels, keep=True).where("predicted = 1").select(docs.columns)
+    return accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
