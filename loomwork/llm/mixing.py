@@ -32,6 +32,7 @@ BLOCK_WORDS = 32
 #: Words of a shard, and shards of a source at most: beyond that shards grow.
 SHARD_WORDS = 1 << 20
 MOST_SHARDS = 4096
+BROADCAST_ROWS = 100_000
 SEED = 8
 
 
@@ -98,10 +99,16 @@ SOURCE_SCHEMA = "m_source string, m_no int, m_shards int, source_size long, targ
 SHARD_SCHEMA = "m_no int, m_shard int, m_words long, m_blocks long, m_passes long, m_extra long, m_step long, m_shift long"
 
 
+def _table(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows as a table to join with: broadcast up to BROADCAST_ROWS, by a shuffle beyond."""
+    table = like.sparkSession.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
+
+
 def _in_shards(sized: DataFrame, sources: list[tuple]) -> DataFrame:
-    """Adds the source's row and the shard; the table of sources has a row for each source."""
-    table = sized.sparkSession.createDataFrame(sources, SOURCE_SCHEMA)
-    return sized.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("m_source"))).withColumn("m_shard", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.col("m_shards")).cast("int"))
+    """Adds the source's row and the shard."""
+    table = _table(sized, sources, SOURCE_SCHEMA)
+    return sized.join(table, F.col("source").eqNullSafe(F.col("m_source"))).withColumn("m_shard", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.col("m_shards")).cast("int"))
 
 
 def plan(sized: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_PASSES, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> Mix:
@@ -151,8 +158,8 @@ def placed(sized: DataFrame, mix: Mix) -> DataFrame:
     m_start is the row's first word in its shard; m_extra_words counts the words
     of chosen blocks, besides m_passes whole passes.
     """
-    table = sized.sparkSession.createDataFrame(mix.shards, SHARD_SCHEMA)
-    rows = _in_shards(sized, mix.sources).join(F.broadcast(table), ["m_no", "m_shard"], "left")
+    table = _table(sized, mix.shards, SHARD_SCHEMA)
+    rows = _in_shards(sized, mix.sources).join(table, ["m_no", "m_shard"], "left")
     order = Window.partitionBy("m_no", "m_shard").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("m_end", F.sum("size").over(order)).withColumn("m_start", F.col("m_end") - F.col("size"))
     first = _div(F.col("m_start") * F.col("m_blocks"), F.col("m_words"))
