@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared_folder import broadcast_up_to, written
 from .textbytes import flat_bytes, mix, shingle_hashes, word_bounds, word_hashes
@@ -171,7 +172,7 @@ def _across(entries: DataFrame) -> DataFrame:
     return a.join(b, (a["value"] == b["value"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _sizes_fit(PERCENT)).select("a", "b", "n_a", "n_b").distinct()
 
 
-def near_duplicates(docs: DataFrame, *, width: int = WIDTH, k: int = K, need: int = NEED, percent: int = PERCENT, short: int = SHORT) -> DataFrame:
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.  Null, empty and
@@ -181,6 +182,11 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, k: int = K, need: in
     and are kept only if nothing of their component has a doc_id.  An empty table
     gives an empty result; other columns are not read.
     """
+    return labelled(docs, **options).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, need: int = NEED, percent: int = PERCENT, short: int = SHORT) -> DataFrame:
+    """near_duplicates() with the node: the key of the row's set, null without shingles."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = written(docs.mapInArrow(_sketch(width, k), "doc_id long, n_shingles long, node binary, sketch array<long>"), "sketches")
     nodes = written(
@@ -268,10 +274,40 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, k: int = K, need: in
     return rows.select("doc_id", "n_shingles", "node").join(of_node, "node", "left").select(
         "doc_id",
         "n_shingles",
+        "node",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def without_near_duplicates(docs: DataFrame, *, width: int = WIDTH, **options) -> DataFrame:
+    """The rows of ``docs`` that near_duplicates() keeps, with their own columns.
+
+    Of rows that share doc_id and set one stays.  A doc_id with several rows is
+    judged row by row, by the set of its text; so are rows without a doc_id.
+    """
+    names, schema = docs.columns, docs.schema
+    verdicts = written(labelled(docs, width=width, **options).select("doc_id", "node", "kept"), "verdicts")
+    by_id = verdicts.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    several = (F.col("n") > 1) | F.col("doc_id").isNull()
+    left = docs.join(written(by_id.where(~several & ~F.col("kept")).select("doc_id"), "gone"), "doc_id", "left_anti").select(names)
+    shared = written(by_id.where(several).select(F.col("doc_id").alias("m_id")), "shared-ids")
+    if shared.isEmpty():
+        return left
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in _in_pieces(whole):
+                keys = [_node_key(s) for s in _sets(batch.column("text"), width)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=[*names, "m_node"])
+
+    of_shared = F.col("doc_id").eqNullSafe(F.col("m_id"))
+    rows = docs.join(shared, of_shared, "left_semi").mapInArrow(keyed, T.StructType([*schema.fields, T.StructField("m_node", T.BinaryType())]))
+    bad = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("b_id"), F.col("node").alias("b_node")).distinct()
+    rows = rows.join(bad, F.col("doc_id").eqNullSafe(F.col("b_id")) & F.col("m_node").eqNullSafe(F.col("b_node")), "left_anti")
+    once = rows.where("m_node is not null").dropDuplicates(["doc_id", "m_node"]).unionByName(rows.where("m_node is null"))
+    return left.join(shared, of_shared, "left_anti").unionByName(once.select(names))
+
+
 #: The same by all pairs that share a shingle.
 SQL = r"""
 WITH RECURSIVE w AS (

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 
 from loomwork.llm import queries
-from loomwork.llm.bottomk_dedup import components, near_duplicates
+from loomwork.llm.bottomk_dedup import components, near_duplicates, without_near_duplicates
 from loomwork.llm.textbytes import flat_bytes, word_bounds, word_hashes
 
 from .conftest import SF
@@ -94,3 +94,13 @@ def test_word_hashes():
     h = word_hashes(data, starts, ends)
     assert np.diff(words).tolist() == [3, 0, 0, 1, 2]
     assert h[0] == h[2] == h[3] != h[1] and h[4] != h[5]
+
+
+def test_rows_that_stay(spark, odd_docs, no_docs):
+    same, other = "a b c d e f g h", "p q r s t u v w"
+    rows = [(1, same, 0), (2, same, 1), (3, other, 2), (3, same, 3), (3, other, 4), (None, same, 5), (None, "only here at all", 6), (4, None, 7), (4, "", 8), (5, "x y", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept int")
+    assert sorted((r.doc_id or -1, r.text or "") for r in without_near_duplicates(df).collect()) == sorted([(1, same), (3, other), (-1, "only here at all"), (4, ""), (4, ""), (5, "x y")])
+    stay = without_near_duplicates(odd_docs)
+    assert stay.columns == odd_docs.columns and stay.where("doc_id = 4").count() == 2
+    assert without_near_duplicates(no_docs).count() == 0
