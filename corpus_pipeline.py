@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm.bottomk_dedup import near_duplicates
+from loomwork.llm.bottomk_dedup import without_near_duplicates
 from loomwork.llm.bpe_segment_tree import bpe_round_trip
 from loomwork.llm.mixing import mix_documents
 from loomwork.llm.pii_crf import without_pii
@@ -27,8 +27,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the smallest doc_id."""
-    gone = written(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return without_near_duplicates(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
