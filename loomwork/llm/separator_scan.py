@@ -5,7 +5,7 @@ fixed number of ids; in each block one vectorised comparison finds the
 separators.  A document that begins in an earlier block ends at the first
 separator of a later one, so its start is the last separator before it: a
 running maximum over the blocks of a file.  Files start and end with whole
-documents, so files are summed up in a second, small prefix sum.
+documents, so every file is scanned by itself.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared_folder import open_fs, publish, shared_path, written
-from .token_frames import encoded, id_width, in_id_order
+from .token_frames import encoded, id_width
 
 BLOCK_IDS = 1 << 20
 
@@ -29,8 +29,10 @@ def flat_name(shard: int) -> str:
 
 
 def write_flat_files(docs: DataFrame, tokenizer_path: str, end_id: int, *, folder: str | None = None) -> tuple[str, int, DataFrame]:
-    """Flat files in doc_id order: folder, bytes of an id, and (shard, ordinal, doc_id) of the documents.
+    """A flat file for each partition: folder, bytes of an id, and (shard, ordinal, doc_id) of the documents.
 
+    Partitions stay as they are, so texts are not shuffled; in a file, documents
+    go by doc_id and text, so a repeated task writes the same file again.
     Strings of added tokens in a text are encoded as text, so the end id stands
     between documents only.
     """
@@ -58,7 +60,8 @@ def write_flat_files(docs: DataFrame, tokenizer_path: str, end_id: int, *, folde
             some = order[a : a + 10_000]
             yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()] * len(some), pa.int64()), pa.array(range(a, a + len(some)), pa.int64()), pa.array(some, pa.int64())], names=["shard", "ordinal", "doc_id"])
 
-    return folder, width, written(in_id_order(docs).mapInArrow(write, "shard long, ordinal long, doc_id long"), "flat-order")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).sortWithinPartitions("doc_id", "text")
+    return folder, width, written(rows.mapInArrow(write, "shard long, ordinal long, doc_id long"), "flat-order")
 
 
 def scan_flat_files(spark: SparkSession, files: list[tuple[int, str]], width: int, end_id: int, *, block_ids: int = BLOCK_IDS) -> DataFrame:
@@ -109,16 +112,14 @@ def scan_flat_files(spark: SparkSession, files: list[tuple[int, str]], width: in
 def token_counts(docs: DataFrame, tokenizer_path: str, end_id: int, *, block_ids: int = BLOCK_IDS) -> DataFrame:
     """doc_id, shard, start, n_tokens of every row of ``docs`` (doc_id, text), counted in flat files.
 
-    start is the document's place in the whole corpus, separators included;
-    n_tokens leaves the separator out.  Null and empty texts have 0 tokens.  Rows
-    that share a doc_id each have a row; rows without a doc_id come first.  Other
-    columns are not read; an empty table gives an empty result.
+    There is a flat file, a shard, for each partition of the table; start is the
+    document's place in it, separators included, and n_tokens leaves the separator
+    out.  Null and empty texts have 0 tokens.  Rows that share a doc_id each have a
+    row, and so have rows without one.  Other columns are not read; an empty table
+    gives an empty result.
     """
     spark = docs.sparkSession
     folder, width, order = write_flat_files(docs, tokenizer_path, end_id)
     shards = [r.shard for r in order.select("shard").distinct().collect()]
     found = scan_flat_files(spark, [(s, f"{folder}/{flat_name(s)}") for s in sorted(shards)], width, end_id, block_ids=block_ids)
-    # One row for each file.
-    sizes = found.groupBy("shard").agg(F.max(F.col("start") + F.col("n_tokens") + 1).alias("ids"))
-    base = sizes.select("shard", F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    return order.join(found, ["shard", "ordinal"]).join(F.broadcast(base), "shard").select("doc_id", "shard", (F.col("base") + F.col("start")).alias("start"), "n_tokens")
+    return order.join(found, ["shard", "ordinal"]).select("doc_id", "shard", "start", "n_tokens")

@@ -94,11 +94,12 @@ def test_frames_of_odd_documents(spark, odd_docs, no_docs):
 def test_query_7_against_the_library(spark, texts):
     library = Tokenizer.from_file(BYTES)
     library.encode_special_tokens = True
-    start, found = 0, {r.doc_id: r for r in queries.op7_separator_scan(spark, SF).collect()}
+    found, start = {r.doc_id: r for r in queries.op7_separator_scan(spark, SF).collect()}, {}
+    assert set(found) == set(texts)
     for doc_id, text in sorted(texts.items()):
-        n = len(library.encode(text, add_special_tokens=False).ids)
-        assert (found[doc_id].start, found[doc_id].n_tokens) == (start, n)
-        start += n + 1
+        n, r = len(library.encode(text, add_special_tokens=False).ids), found[doc_id]
+        assert (r.start, r.n_tokens) == (start.get(r.shard, 0), n)
+        start[r.shard] = r.start + n + 1
 
 
 @pytest.mark.parametrize("block", [1, 3, 7, 100])
