@@ -6,10 +6,13 @@ shingle's identity and as its random order.
 
 1.  Documents with equal sets form one class; from here on a class is one node.
 2.  Retained values are counted over all nodes.  Values of one node alone link
-    nothing.  Two sets of similarity 0.75 share at least ``need`` of the values
-    that both retain (all but about 4e-10 of such pairs for k = 64, need = 24;
-    surely where a set has at most k shingles).  So it is enough that each node
-    enters the inverted lists of its ``size - need + 1`` rarest values.
+    nothing.  Two sets of similarity 0.75 that both have k shingles or more share
+    at least ``need`` of the values that both retain (all but about 4e-10 of such
+    pairs for k = 64, need = 24).  A set of n < k shingles surely shares 0.75 n with
+    a partner that retains all of its own; a larger partner has up to n / 0.75 and
+    leaves out all but k of them, so n + k - n / 0.75 are sure.  So it is enough that
+    each node enters the inverted lists of its ``size - least + 1`` rarest values,
+    ``least`` being what it shares with any partner.
 3.  Star round: in each list the node with the most common values is the hub,
     and every other member is compared with it.  Links give components.
 4.  Lists that hold one component need nothing more.  Of the others, short lists
@@ -197,7 +200,9 @@ def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, need: int = NEE
     # Inverted lists of the rarest retained values that at least two nodes have.
     retained = nodes.select("node", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
     shared = retained.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    least = F.when(F.col("m") < k, F.ceil(F.col("n") * percent / 100)).otherwise(F.lit(need))
+    # A partner of more than k shingles retains k of them: of a small set's common values it can leave out the rest.
+    small = F.least(F.ceil(F.col("n") * percent / 100), F.col("n") + k - F.floor(F.col("n") * 100 / percent))
+    least = F.when(F.col("m") < k, small).otherwise(F.lit(need))
     by_node = Window.partitionBy("node")
     entries = (
         retained.join(shared, "value")

@@ -73,6 +73,20 @@ def test_large_groups_keep_every_link(spark):
         assert found(near_duplicates(df, short=4)) == brute(rows)
 
 
+def test_small_sets_with_partners_beyond_the_sketch(spark):
+    pick = random.Random(6)
+    rows = []
+    for n in range(56, 65):
+        for k in range(40):
+            # n shingles, and up to n / 0.75 in a text that goes on.
+            words = [f"w{pick.getrandbits(40)}" for _ in range(n * 4 // 3 + 4 - k % 3)]
+            rows += [(len(rows), " ".join(words[: n + 4])), (len(rows) + 1, " ".join(words))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found(near_duplicates(df))
+    assert got == brute(rows)
+    assert len({c for _, _, c in got}) == len(rows) // 2
+
+
 def test_odd_documents(odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     got = near_duplicates(odd_docs)
