@@ -5,7 +5,8 @@ phone numbers without a plus sign, card numbers with other separators, addresses
 with a masked @.  Its tokens are words with a digit, an @ or a mask in brackets;
 any other word is outside by definition, so a text falls apart into short chains
 of such words, and decoding chains by themselves gives the same labels as decoding
-the text.  Chains of a whole batch are decoded together by Viterbi in numpy.
+the text.  Words of more than ``LONG`` characters, as in JSON, CSV and addresses of
+pages, are cut into their fields first.  Chains of a whole batch are decoded together by Viterbi in numpy.
 """
 
 from __future__ import annotations
@@ -35,6 +36,11 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]|[\[(](?:at|AT)[\])]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: The fields of a long word: masks, area codes and numbers such as 12/30 stay whole.
+_FIELD = re.compile(r"""(?:[^\[\](),;"'{}|<>&?=:/\\]++|[\[(](?:at|AT|dot|DOT)[\])]|\([0-9]++\)|(?<=[0-9])[/:](?=[0-9]))++""")
+LONG = 80
+#: Longer words are not kept in the cache of shapes.
+CACHED = 400
 _NO_DIGITS = str.maketrans("", "", " -().+/_\t")
 
 Span = tuple[int, int]
@@ -97,8 +103,8 @@ def _own(word: str) -> list[float]:
     core = word.strip(".,;:!?\"'")
     digits = sum(c.isdigit() for c in core)
     letters = sum(c.isalpha() for c in core)
-    shape = re.sub(r"9+", "9", re.sub(r"[0-9]", "9", re.sub(r"[^\W\d_]+", "a", core[:80])))
-    groups = re.findall(r"[0-9]+", core[:80])
+    shape = re.sub(r"9+", "9", re.sub(r"[0-9]", "9", re.sub(r"[^\W\d_]+", "a", core)))
+    groups = re.findall(r"[0-9]+", core)
     return [
         1.0,
         digits == 0,
@@ -146,7 +152,7 @@ N_FEATURES = 3 * N_OWN + 2 + len(KINDS)
 
 def chain_features(words: list[str], cue: str | None) -> np.ndarray:
     x = np.zeros((len(words), N_FEATURES))
-    own = np.array([_own_of(w[:400]) for w in words])
+    own = np.array([_own_of(w) if len(w) <= CACHED else _own(w) for w in words])
     x[:, :N_OWN] = own
     x[1:, N_OWN : 2 * N_OWN] = own[:-1]
     x[:-1, 2 * N_OWN : 3 * N_OWN] = own[1:]
@@ -241,16 +247,22 @@ class PiiModel:
 
 
 def chains_of(text: str) -> list[tuple[str | None, list[tuple[int, int]]]]:
-    """(plain word before, spans of the words) of every chain of words with a sign."""
+    """(plain word before, spans of the words) of every chain of words with a sign.
+
+    Fields of a long word are words, and no chain goes from one field to the next.
+    """
     out, before, chain = [], None, []
     for m in _WORD.finditer(text):
-        if _SIGN.search(m[0]):
-            chain.append(m.span())
-        else:
-            if chain:
+        words = [m.span()] if m.end() - m.start() <= LONG else [f.span() for f in _FIELD.finditer(text, *m.span())]
+        for k, (a, b) in enumerate(words):
+            sign = _SIGN.search(text, a, b)
+            if chain and (k or not sign):
                 out.append((before, chain))
                 chain = []
-            before = m[0]
+            if sign:
+                chain.append((a, b))
+            else:
+                before = text[a:b]
     if chain:
         out.append((before, chain))
     return out

@@ -111,6 +111,20 @@ def test_the_model_adds_what_patterns_miss():
     assert not any(added[2].values()) and not any(added[3].values())
 
 
+def test_long_words_are_read_to_their_end():
+    model = PiiModel(labelled_table())
+    fill = ",".join(f'"k{k}":"value"' for k in range(60))
+    number = "4111.1111.1111.1111"
+    texts = ["{" + fill + ',"mail":"name[at]host.com","to":"a.b@c.org","card":"' + number + '"}', "x," * 300 + number + ",tel,(626)555-0199,y", "https://host.org/" + "path/" * 100 + "?mail=name(at)host(dot)org&x=1"]
+    assert not any(" " in t for t in texts)
+    added = [{k: [t[a:b] for a, b in s[k] if (a, b) not in base[k]] for k in KINDS} for t, (base, s) in zip(texts, find_all(texts, model), strict=True)]
+    assert added[0]["email"] == ["name[at]host.com"] and added[0]["card"] == [number]
+    assert added[1]["card"] == [number] and added[1]["phone"] == ["(626)555-0199"]
+    assert added[2]["email"] == ["name(at)host(dot)org"]
+    for text in ("1" * 300_000, "1/" * 150_000, "(1" * 150_000, "[at]" * 75_000, "a1," * 100_000):
+        find_all([text], model)
+
+
 def test_pii_of_odd_documents(odd_docs, no_docs):
     rows = find_pii(odd_docs).collect()
     assert len(rows) == odd_docs.count()
