@@ -6,7 +6,8 @@ table is then put into the leaf that greedy descent finds, so the index holds
 all rows.  A query walks the tree best bin first: a priority queue holds the
 branches seen so far by their distance, and leaves come out nearest first.  How
 many leaves a query visits is widened until a sample of queries, held against
-all rows, reaches the wanted recall.
+all rows, reaches the wanted recall; it goes on while they hold fewer than ``k``
+rows of other ids.
 
 Vectors are unit length in the tree, where nearness by cosine and by distance
 agree.  Rows with the same vector are one entry of the index with the smallest
@@ -100,11 +101,12 @@ class Tree:
             waiting += [(first + c, rows[near == c]) for c in np.unique(near)]
         return out
 
-    def nearest_leaves(self, q: np.ndarray, most: int) -> list[int]:
-        """Leaves in best-bin-first order."""
+    def nearest_leaves(self, q: np.ndarray, most: int, rows: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """Leaves in best-bin-first order: ``most``, and more until their ``rows`` come to ``least``."""
         out: list[int] = []
+        held = 0 if rows is not None else least
         queue = [(0.0, 0)]
-        while queue and len(out) < most:
+        while queue and (len(out) < most or held < least):
             _, node = heapq.heappop(queue)
             while self.children[node] >= 0:
                 first, width = self.children[node], self.widths[node]
@@ -115,6 +117,8 @@ class Tree:
                         heapq.heappush(queue, (float(far[c]), first + c))
                 node = first + best
             out.append(-1 - self.children[node])
+            if rows is not None:
+                held += rows[out[-1]]
         return out
 
 
@@ -202,13 +206,26 @@ def nearest(vectors: DataFrame, *, k: int = K, every: int = QUERY_EVERY, sample:
     needed = np.sort([order[q][leaf] for q, leaf in zip(found["q"], found["leaf"], strict=True)])
     visits = int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)]) if len(needed) else 1
 
-    # Leaves of many entries, and leaves that many queries visit, are cut into blocks.
+    # Rows of every leaf, and of them those that are a query's own.
+    held = np.zeros(tree.leaves, dtype=np.int64)
+    for leaf, n in index.groupBy("leaf").agg(F.sum(F.size("ids"))).collect():
+        held[leaf] = n
+    own_rows = index.select("leaf", F.explode("ids").alias("query_id")).where(F.col("query_id") % every == 0).groupBy("query_id", "leaf").agg(F.count("*").alias("n"))
+    own_rows = own_rows.groupBy("query_id").agg(F.collect_list("leaf").alias("own_leaves"), F.collect_list("n").alias("own_rows"))
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             q = unit(_vectors(batch.column("embedding").to_pylist())) if batch.num_rows else []
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([shared.value.nearest_leaves(v, visits) for v in q], pa.list_(pa.int64()))], names=["query_id", "embedding", "leaves"])
+            leaves = []
+            for v, own, n in zip(q, batch.column("own_leaves").to_pylist(), batch.column("own_rows").to_pylist(), strict=True):
+                others = held.copy()
+                others[np.array(own or [], dtype=np.int64)] -= np.array(n or [], dtype=np.int64)
+                leaves.append(shared.value.nearest_leaves(v, visits, others, k))
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("embedding"), pa.array(leaves, pa.list_(pa.int64()))], names=["query_id", "embedding", "leaves"])
 
-    visit = written(asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(walk, "query_id long, embedding array<double>, leaves array<long>").select("query_id", "embedding", F.explode("leaves").alias("leaf")), "visits")
+    # Leaves of many entries, and leaves that many queries visit, are cut into blocks.
+    dealt = asked.join(own_rows, "query_id", "left").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    visit = written(dealt.mapInArrow(walk, "query_id long, embedding array<double>, leaves array<long>").select("query_id", "embedding", F.explode("leaves").alias("leaf")), "visits")
     entry_blocks = index.groupBy("leaf").agg(F.ceil(F.count("*") / block).alias("e_blocks"))
     query_blocks = visit.groupBy("leaf").agg(F.ceil(F.count("*") / block).alias("q_blocks"))
     grid = entry_blocks.join(query_blocks, "leaf")

@@ -58,6 +58,20 @@ def test_odd_vectors(spark):
     assert {r.query_id for r in nearest(df.where("vec_id in (0, 1)")).collect()} == {0}
 
 
+def test_queries_in_thin_leaves_get_all_their_neighbours(spark):
+    rng = np.random.default_rng(4)
+    centres = unit(rng.normal(size=(100, 16)))
+    # Twenty large groups, and eighty of three rows.
+    groups = [(c, 150 if k < 20 else 3) for k, c in enumerate(centres)]
+    x = np.concatenate([c + rng.normal(size=(n, 16)) * 1e-3 for c, n in groups])
+    # Ids of queries: some of the large groups, and one of each small group.
+    ids = [50 * k if k % 10 == 0 and k < 3000 or k >= 3000 and k % 3 == 0 else 50 * k + 1 for k in range(len(x))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    # As if most neighbours lay in the first leaf.
+    found = {r.query_id: r.n for r in nearest(df, recall=0.2).groupBy("query_id").agg(F.count("*").alias("n")).collect()}
+    assert found == {i: 5 for i in ids if i % 50 == 0}
+
+
 def test_tree_visits_every_leaf_once_and_descends_to_the_nearest():
     x = unit(np.random.default_rng(0).normal(size=(500, 6)))
     tree = Tree.fit(x, branch=4, leaf_sample=10)
