@@ -11,7 +11,8 @@ rows of other ids.
 
 Vectors are unit length in the tree, where nearness by cosine and by distance
 agree.  Rows with the same vector are one entry of the index with the smallest
-``k`` + 1 of their ids: no more of them can be among a query's nearest.
+``k`` + 1 of their distinct ids, each up to ``k`` times: no more of them can be
+among a query's nearest, whichever id is its own.
 """
 
 from __future__ import annotations
@@ -148,6 +149,12 @@ def _best(scores: np.ndarray, k: int) -> np.ndarray:
     return scores >= kth - 1e-9
 
 
+def _own(names: np.ndarray, ids: list[list[int]]) -> np.ndarray:
+    """Whether an entry (sorted ids, a column) holds nothing but the query's id (a row)."""
+    first, last = np.array([i[0] for i in ids]), np.array([i[-1] for i in ids])
+    return (names[:, None] == first) & (names[:, None] == last)
+
+
 def nearest(vectors: DataFrame, *, k: int = K, every: int = QUERY_EVERY, sample: int = SAMPLE, calibration: int = CALIBRATION, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row whose vec_id divides by ``every``.
 
@@ -159,10 +166,11 @@ def nearest(vectors: DataFrame, *, k: int = K, every: int = QUERY_EVERY, sample:
     """
     spark = vectors.sparkSession
     rows = written(usable(vectors), "vectors")
-    # Equal vectors: the smallest k + 1 ids (a row each), limited before the shuffle.
+    # Equal vectors: the smallest k + 1 distinct ids (a row each, with its count), limited before the shuffle.
     by_vector = Window.partitionBy("embedding").orderBy("vec_id")
-    few = rows.withColumn("place", F.row_number().over(by_vector)).where(F.col("place") <= k + 1)
-    entries = written(few.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select(F.element_at("ids", 1).alias("entry"), "ids", "embedding"), "entries")
+    each = rows.groupBy("embedding", "vec_id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n"))
+    few = each.withColumn("place", F.row_number().over(by_vector)).where(F.col("place") <= k + 1)
+    entries = written(few.groupBy("embedding").agg(F.array_sort(F.flatten(F.collect_list(F.array_repeat("vec_id", F.col("n"))))).alias("ids")).select(F.element_at("ids", 1).alias("entry"), "ids", "embedding"), "entries")
     asked = written(rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "embedding").dropDuplicates(["query_id", "embedding"]), "queries")
     schema = "query_id long, vec_id long, score double"
 
@@ -192,8 +200,7 @@ def nearest(vectors: DataFrame, *, k: int = K, every: int = QUERY_EVERY, sample:
                 continue
             x, leaf, ids = _vectors(batch.column("embedding").to_pylist()), batch.column("leaf").to_numpy(), batch.column("ids").to_pylist()
             cosine = unit(q) @ unit(x).T
-            own = np.array([[n in i and len(i) == 1 for i in ids] for n in names])
-            cosine[own] = -np.inf
+            cosine[_own(names, ids)] = -np.inf
             top = np.argsort(-cosine, axis=1, kind="stable")[:, :k]
             at = np.arange(len(names))[:, None]
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(names)), top.shape[1]), pa.int64()), pa.array(leaf[top].ravel(), pa.int64()), pa.array(cosine[at, top].ravel(), pa.float64())], names=["q", "leaf", "score"])
@@ -237,10 +244,11 @@ def nearest(vectors: DataFrame, *, k: int = K, every: int = QUERY_EVERY, sample:
         if len(x) and len(q):
             points, asks, ids = _vectors(x["embedding"].tolist()), _vectors(q["embedding"].tolist()), x["ids"].tolist()
             cosine = unit(asks) @ unit(points).T
-            # An entry can hold the query itself, so one more than k stays.
-            a, b = np.nonzero(_best(cosine, k + 1))
-            scores = _score(asks[a], points[b])
             names = q["query_id"].to_numpy()
+            # Each entry that stays has a row of another id.
+            cosine[_own(names, ids)] = -np.inf
+            a, b = np.nonzero(_best(cosine, k) & (cosine > -np.inf))
+            scores = _score(asks[a], points[b])
             for i, j, s in zip(a, b, scores, strict=True):
                 out += [(names[i], v, s) for v in ids[j] if v != names[i]]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])

@@ -72,6 +72,22 @@ def test_queries_in_thin_leaves_get_all_their_neighbours(spark):
     assert found == {i: 5 for i in ids if i % 50 == 0}
 
 
+def test_repeated_ids_hide_no_other_rows(spark):
+    rng = np.random.default_rng(3)
+    same, near = rng.normal(size=(2, 8))
+    # A query's id repeated with a vector that others have too; another id repeated with one vector; a query's id with many near vectors.
+    rows = [(50, same)] * 9 + [(60 + k, same) for k in range(4)] + [(k, rng.normal(size=8)) for k in range(1, 40)]
+    rows += [(100, near)] + [(101, near + 0.1)] * 9
+    many = [(150, -same + 0.01 * rng.normal(size=8)) for _ in range(9)]
+    df = lambda rows: spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(df(rows), recall=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == exact(rows)
+    assert got[50][:4] == [60, 61, 62, 63] and got[100] == [101] * 5
+    assert nearest(df(rows + many), recall=1.0).where("query_id = 150 and vec_id <> 150").count() == 5
+
+
 def test_tree_visits_every_leaf_once_and_descends_to_the_nearest():
     x = unit(np.random.default_rng(0).normal(size=(500, 6)))
     tree = Tree.fit(x, branch=4, leaf_sample=10)
