@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from loomwork.llm import queries
 from loomwork.llm.gif_media import BACKGROUND, KEEP, PALETTE, PREVIOUS, Frame, GifError, decode_gif, encode_gif, histogram, lzw_decode, lzw_encode, text_media, timed_frames
-from loomwork.llm.kmeans_tree import Tree, nearest, unit
+from loomwork.llm.kmeans_tree import RECALL, Tree, nearest, unit
 from loomwork.llm.mixing import mix_documents, mix_quotas, sainte_lague, targets
 from loomwork.llm.preference import parroting, preference_pairs
 
@@ -43,6 +43,10 @@ def test_query_2_reaches_its_recall(spark, table):
     assert np.mean([len(set(got[q]) & set(want[q])) / 5 for q in want]) >= 0.9
 
 
+def test_wanted_recall():
+    assert RECALL >= 0.97
+
+
 def test_odd_vectors(spark):
     pick = random.Random(1)
     vector = lambda: [pick.gauss(0, 1) for _ in range(8)]
