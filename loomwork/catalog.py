@@ -457,6 +457,11 @@ def _(t: Tables) -> DataFrame:
     return A.history(t.events.select("user_id", "event_id", "ts"), "user_id", "ts", "event_id", 3).select("user_id", "event_id", "place")
 
 
+@query("history_by_entity_whole", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events")
+def _(t: Tables) -> DataFrame:
+    return A.history(t.events.select("user_id", "event_id", "ts"), "user_id", "ts", "event_id").select("user_id", "event_id", "place")
+
+
 @query("free_slots", "SELECT c_custkey AS slot FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')")
 def _(t: Tables) -> DataFrame:
     return A.free_slots(t.customer.select(F.col("c_custkey").alias("slot")), t.orders.where("o_orderstatus = 'O'").select(F.col("o_custkey").alias("slot")), "slot")

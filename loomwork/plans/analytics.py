@@ -36,9 +36,10 @@ def agenda(appointments: DataFrame, *by: str, day: str = "day") -> DataFrame:
     return appointments.groupBy(*by, day).agg(F.count("*").alias("n"))
 
 
-def history(rows: DataFrame, key: str, at: str, tie: str, most: int) -> DataFrame:
-    """The newest ``most`` rows of every key, with their place."""
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(at), F.desc(tie)))).where(F.col("place") <= most)
+def history(rows: DataFrame, key: str, at: str, tie: str, most: int | None = None) -> DataFrame:
+    """All rows of every key, or the newest ``most``, with their place."""
+    placed = rows.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(at), F.desc(tie))))
+    return placed if most is None else placed.where(F.col("place") <= most)
 
 
 def free_slots(slots: DataFrame, taken: DataFrame, *on: str) -> DataFrame:

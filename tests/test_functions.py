@@ -1,8 +1,10 @@
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from loomwork import catalog
 from loomwork.functions import parse as P
 from loomwork.functions import text as X
 from loomwork.functions.similarity import Pool, jaro_winkler_many, upper_bound
@@ -92,3 +94,21 @@ def test_jaro_winkler_against_the_textbook():
             assert max(abs(g - w) for g, w in zip(got, want, strict=True)) < 1e-12
     assert all((jaro_winkler_many(a, Pool(words)) <= upper_bound(len(a), Pool(words).lengths) + 1e-12).all() for a in words)
     assert 0.6 * jaro_winkler_many("PEÑA", Pool(["PENA"]))[0] + 0.4 >= 0.92
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def against_sql(spark, name, table):
+    """Rows of a query, equal to those of its SQL."""
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
+    got = [tuple(r) for r in catalog.QUERIES[name](spark, SF).collect()]
+    assert sorted(got, key=str) == sorted(db.execute(catalog.SQL[name]).fetchall(), key=str)
+    return got
+
+
+def test_histories_are_whole(spark):
+    got = against_sql(spark, "history_by_entity_whole", "events")
+    assert len(got) == spark.read.parquet(f"{SF}/events.parquet").count()
+    assert max(place for *_, place in got) > 3
