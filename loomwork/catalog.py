@@ -452,6 +452,11 @@ def _(t: Tables) -> DataFrame:
     return A.agenda(month.select("o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")), "o_orderpriority")
 
 
+@query("agenda_by_day_whole", "SELECT o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, count(*) AS n FROM orders GROUP BY ALL")
+def _(t: Tables) -> DataFrame:
+    return A.agenda(t.orders.select("o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")), "o_orderpriority")
+
+
 @query("history_by_entity", "SELECT user_id, event_id, place FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events) WHERE place <= 3")
 def _(t: Tables) -> DataFrame:
     return A.history(t.events.select("user_id", "event_id", "ts"), "user_id", "ts", "event_id", 3).select("user_id", "event_id", "place")

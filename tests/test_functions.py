@@ -112,3 +112,9 @@ def test_histories_are_whole(spark):
     got = against_sql(spark, "history_by_entity_whole", "events")
     assert len(got) == spark.read.parquet(f"{SF}/events.parquet").count()
     assert max(place for *_, place in got) > 3
+
+
+def test_agendas_are_whole(spark):
+    got = against_sql(spark, "agenda_by_day_whole", "orders")
+    assert sum(n for *_, n in got) == spark.read.parquet(f"{SF}/orders.parquet").count()
+    assert len({day[:7] for _, day, _ in got}) > 1
