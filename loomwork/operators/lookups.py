@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwork.functions.text import blank_to_null, normalize_text
+from loomwork.scratch import written
 
 
 def vocabulary(df: DataFrame, *columns: str) -> DataFrame:
@@ -24,14 +25,20 @@ def first_spelling(df: DataFrame, value: str, *order: str) -> DataFrame:
 def with_ids(df: DataFrame, *order: str, start: int | Column = 0, name: str = "id") -> DataFrame:
     """Consecutive ids after ``start`` in an order, without gathering the rows in one task.
 
-    Range partitions are numbered within themselves, and each starts after the
-    rows of those before it: two passes, one row for each partition between them.
+    Rows are cut into ranges, sorted and written once, each with its range and its
+    place in it; a range's ids start after the rows of those before it.  Counts
+    and rows come from the same written table: a range exchange that ran twice
+    could draw other bounds the second time.  Rows that tie in ``order`` get
+    their ids in any order among themselves.  A row for each range is broadcast.
     """
-    parts = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id())
-    counts = parts.groupBy("_part").agg(F.count("*").alias("n"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # Within a partition these go up by one from partition * 2^33.
+    rows = written(parts.withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    counts = rows.groupBy(part.alias("_part")).agg((F.max(place) + 1).alias("n"))
     before = counts.select("_part", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return parts.join(F.broadcast(before), "_part").withColumn(name, (F.lit(start) + F.col("_before") + place).cast("long")).drop("_part", "_before")
+    return rows.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn(name, (F.lit(start) + F.col("_before") + place + 1).cast("long")).drop("_part", "_before", "_at")
 
 
 def next_id(df: DataFrame, column: str = "id") -> int:
