@@ -2,6 +2,7 @@ import pytest
 
 from loomwork.sources.mysqldump import parse_create, parse_mysql_dump, read_mysql_dump
 
+# Names of legacy tables and columns; the rows are invented.
 DUMP = r"""-- header; with a semicolon
 /*!40101 SET NAMES utf8 */;
 DROP TABLE IF EXISTS `caja`;
@@ -26,7 +27,7 @@ INSERT INTO `nowhere` VALUES (1);
 
 def write(tmp_path, text):
     path = tmp_path / "dump.sql"
-    path.write_text(text)
+    path.write_text(text, newline="")
     return f"file://{path}"
 
 
@@ -53,6 +54,31 @@ def test_long_literals_do_not_exhaust_the_stack(spark, tmp_path):
     assert [len(r.b) for r in read_mysql_dump(spark, path).tables["t"].collect()] == [120_000, 120_000]
 
 
+def test_both_line_ends(spark, tmp_path):
+    path = write(tmp_path, DUMP.replace("\n", "\r\n"))
+    dump = read_mysql_dump(spark, path)
+    assert sorted(dump.tables) == ["caja", "other"] and dump.tables["caja"].columns == ["idCaja", "conceptoCaja", "ingresosCaja"]
+    assert parse_mysql_dump(spark, path) == {"tables": ["caja", "other"], "records": 5}
+    mixed = DUMP.replace("\n", "\r\n").replace("(2,'','0'),", "(2,'','0');\nINSERT INTO `caja` VALUES ")
+    assert parse_mysql_dump(spark, write(tmp_path, mixed)) == {"tables": ["caja", "other"], "records": 5}
+    assert parse_mysql_dump(spark, write(tmp_path, mixed.replace("\r\n", "\n"))) == {"tables": ["caja", "other"], "records": 5}
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_raw_line_breaks_in_literals(spark, tmp_path, end):
+    texts = [f"a;{end}  INSERT INTO t VALUES (9,''x'');{end};{end}b", f";{end}", f"-- no comment;{end}/* nor this", "plain"]
+    rows = "".join(f"-- it's a comment;{end}INSERT INTO t VALUES ({k},'{x}');{end}" for k, x in enumerate(texts))
+    found = read_mysql_dump(spark, write(tmp_path, f"CREATE TABLE t (a int, b text);{end}{rows}")).tables["t"]
+    assert {int(r.a): r.b for r in found.collect()} == dict(enumerate(texts))
+
+
+@pytest.mark.parametrize("tail", ["INSERT INTO t VALUES (1,'open);\nINSERT INTO t VALUES (2,3);\n", "(1,2);\n", "INSERT INTO t VALUES (1,2) nonsense;\n", "'x';\n"])
+def test_what_is_no_statement_stops_the_read(spark, tmp_path, tail):
+    path = write(tmp_path, "CREATE TABLE t (a int, b text);\n" + tail)
+    with pytest.raises(Exception, match="no statement|no list of values|literal has no end"):
+        read_mysql_dump(spark, path).tables["t"].collect()
+
+
 def test_definitions():
     assert parse_create("CREATE TABLE a (`x y` int, b enum('p,)','q'), UNIQUE KEY u (b))") == ("a", ["x y", "b"])
     assert parse_create("INSERT INTO a VALUES (1)") is None
