@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwork.functions.text import normal_form, normalize_text
+
 
 def period_totals(entries: DataFrame, period: str = "period") -> DataFrame:
     """(period, total_income, total_expenses, net) of entries (period, type, amount)."""
@@ -31,9 +33,29 @@ def current_balance(snapshots: DataFrame, entries: DataFrame) -> DataFrame:
     return last.join(moved).select("period_end", (F.col("closing_balance") + F.col("income") - F.col("expense")).alias("balance"))
 
 
-def agenda(appointments: DataFrame, *by: str, day: str = "day") -> DataFrame:
-    """Appointments a day for each value of ``by``."""
-    return appointments.groupBy(*by, day).agg(F.count("*").alias("n"))
+def agenda(appointments: DataFrame, *by: str, day: str = "day", status: tuple[str, ...] | None = None) -> DataFrame:
+    """Appointments a day for each value of ``by``; only those of the given states, if any are given."""
+    rows = appointments if status is None else appointments.where(F.col("status").isin(*status))
+    return rows.groupBy(*by, day).agg(F.count("*").alias("n"))
+
+
+def search_names(people: DataFrame, name: str, *columns: str) -> DataFrame:
+    """Rows whose normal form of ``columns``, joined by blanks, has every word of ``name`` at the beginning of a word.
+
+    Case and accents make no difference; a name without letters finds nothing.
+    """
+    said = F.concat(F.lit(" "), F.concat_ws(" ", *[normalize_text(F.col(c)) for c in columns]))
+    words = normal_form(name).split()
+    found = F.lit(bool(words))
+    for word in words:
+        found = found & said.contains(f" {word}")
+    return people.where(found)
+
+
+def search_document(people: DataFrame, number: str, column: str = "doc_number") -> DataFrame:
+    """Rows of a document's number; blanks and punctuation make no difference.  The number as written is a filter that reaches the scan."""
+    plain = lambda x: F.regexp_replace(x, r"[\s.\-/]+", "")
+    return people.where((F.col(column) == number) | (plain(F.col(column)) == plain(F.lit(number))))
 
 
 def history(rows: DataFrame, key: str, at: str, tie: str, most: int | None = None) -> DataFrame:
