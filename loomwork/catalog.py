@@ -5,8 +5,6 @@ A query and its SQL stand together; names of columns are the same in both.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,36 +13,18 @@ from loomwork.functions import text as X
 from loomwork.operators.constraints import Constraints
 from loomwork.operators.link import LinkConfig, find_duplicates, link
 from loomwork.operators.lookups import first_spelling, in_order, resolve, vocabulary, with_ids
+from loomwork.operators.upsert import upsert
 from loomwork.plans import analytics as A
 from loomwork.plans import ledger as L
 from loomwork.plans import report as R
-from loomwork.sources.mysqldump import read_mysql_dump, rendered
+from loomwork.registry import QUERIES, SQL, Tables, query
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL", "entry"]
 
 #: The linkage as DuckDB's jaro_winkler_similarity scores it.
 SQL_SCORER = LinkConfig(floor_transpositions=True, boost_threshold=0.7)
 
 
-class Tables:
-    def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder
-
-    def __getattr__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
-
-
-def query(name: str, sql: str | None = None):
-    def add(f: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, folder: f(Tables(spark, folder))
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return add
-
-
 def entry(spark: SparkSession, folder: str) -> DataFrame:
     return QUERIES["fuzzy_full_name"](spark, folder)
 
@@ -138,17 +118,27 @@ def _(t: Tables) -> DataFrame:
 # Text ----------------------------------------------------------------------
 
 
-@query("text_normalize_keys", """SELECT p_partkey, translate(regexp_replace(upper(trim('  ' || p_name || ' - (' || p_brand || ')! ')), '\\s+', ' ', 'g'), '.,;:!?''"-()[]{}', '') AS norm FROM part""")
+@query(
+    "text_normalize_keys",
+    """WITH n AS (SELECT 'part' AS kind, p_partkey AS k, p_name || ' - (' || p_brand || ')' AS said FROM part UNION ALL SELECT 'customer', c_custkey, c_name || ' ' || c_mktsegment FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier)
+ SELECT kind, k, translate(regexp_replace(upper(strip_accents('Nguyễn Jòsé Łuś ' || CASE WHEN k % 2 = 0 THEN 'Čapek' ELSE 'ÿèö' END) || ' ñandú ' || trim(said)), '\\s+', ' ', 'g'), '.,;:!?''"-()[]{}Ú', 'U') AS norm FROM n""".replace("""'.,;:!?''"-()[]{}Ú', 'U'""", """'Ú.,;:!?''"-()[]{}', 'U'""").replace("\\\\", "\\"),
+)
 def _(t: Tables) -> DataFrame:
-    said = F.concat(F.lit("  "), "p_name", F.lit(" - ("), "p_brand", F.lit(")! "))
-    return t.part.select("p_partkey", X.normalize_text(said).alias("norm"))
+    """Names of three tables after words with accents, of which some are letters and some marks that follow a letter."""
+    names = (
+        t.part.select(F.lit("part").alias("kind"), F.col("p_partkey").alias("k"), F.concat("p_name", F.lit(" - ("), "p_brand", F.lit(")")).alias("said"))
+        .unionByName(t.customer.select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("k"), F.concat_ws(" ", "c_name", "c_mktsegment").alias("said")))
+        .unionByName(t.supplier.select(F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("k"), F.col("s_name").alias("said")))
+    )
+    words = F.concat(F.lit(" \t Nguye\u0302\u0303n Jo\u0300s\u00e9  \u0141us\u0301 "), F.when(F.col("k") % 2 == 0, "\u010capek").otherwise("y\u0308e\u0300\u00f6"), F.lit(" n\u0303and\u00fa "))
+    return names.select("kind", "k", X.normalize_text(F.concat(words, "said", F.lit("! "))).alias("norm"))
 
 
-@query("text_fold_accents", """SELECT lang, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS letters, md5(string_agg(md5(translate(text, 'áàâäãåéèêëíìîïóòôöõúùûüçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÇ', 'aaaaaaeeeeiiiiooooouuuucAAAAAAEEEEIIIIOOOOOUUUUC')), '' ORDER BY doc_id)) AS folded FROM documents GROUP BY lang""")
+@query("text_fold_accents", """SELECT lang, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS letters, CAST(sum(CAST('0x' || substr(md5(translate(text, 'áàâäãåéèêëíìîïóòôöõúùûüçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÇ', 'aaaaaaeeeeiiiiooooouuuucAAAAAAEEEEIIIIOOOOOUUUUC')), 1, 15) AS BIGINT)) AS VARCHAR) AS folded FROM documents GROUP BY lang""")
 def _(t: Tables) -> DataFrame:
-    rows = t.documents.select("lang", "doc_id", F.length("text").alias("n"), F.md5(X.fold_accents(F.col("text"))).alias("h"))
-    said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "h"))), lambda x: x["h"]), "")
-    return rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum("n").alias("letters"), F.md5(said).alias("folded"))
+    """A sum of hashes: it takes any order, and is combined before the shuffle."""
+    h = F.conv(F.substring(F.md5(X.fold_accents(F.col("text"))), 1, 15), 16, 10).cast("decimal(20,0)")
+    return t.documents.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("letters"), F.sum(h).cast("string").alias("folded"))
 
 
 @query("text_br_to_newline", r"""SELECT page_id, length(regexp_replace(html, '<\s*br\s*/?\s*>', chr(10), 'gi')) AS letters, length(html) - length(replace(html, '<br>', '')) AS marked FROM pages""")
@@ -170,26 +160,31 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "code_map_status",
-    """WITH o AS (SELECT CASE o_orderstatus WHEN 'P' THEN '0' WHEN 'F' THEN '2' WHEN 'O' THEN CASE WHEN o_orderkey % 5 = 0 THEN '9' END END AS code, CASE WHEN o_orderkey % 2 = 0 THEN ' m' ELSE 'x' END AS sex FROM orders)
- SELECT CASE code WHEN '0' THEN 'pending' WHEN '1' THEN 'confirmed' WHEN '2' THEN 'completed' WHEN '3' THEN 'cancelled' ELSE 'pending' END AS status, code IS NOT NULL AND code NOT IN ('0','1','2','3') AS odd,
+    """WITH o AS (SELECT CASE o_orderstatus WHEN 'P' THEN '0' WHEN 'F' THEN '2' WHEN 'O' THEN CASE WHEN o_orderkey % 5 = 0 THEN '9' END END AS code, CASE WHEN o_orderkey % 2 = 0 THEN ' m' ELSE 'x' END AS sex FROM orders
+ UNION ALL SELECT CASE l_returnflag WHEN 'A' THEN ' 1 ' WHEN 'N' THEN '3' ELSE 'R' END, CASE l_linestatus WHEN 'F' THEN 'f ' ELSE '' END FROM lineitem)
+ SELECT CASE trim(code) WHEN '0' THEN 'pending' WHEN '1' THEN 'confirmed' WHEN '2' THEN 'completed' WHEN '3' THEN 'cancelled' ELSE 'pending' END AS status, code IS NOT NULL AND trim(code) NOT IN ('0','1','2','3') AS odd,
  CASE upper(trim(sex)) WHEN 'M' THEN 'male' WHEN 'F' THEN 'female' END AS gender, count(*) AS n FROM o GROUP BY ALL""",
 )
 def _(t: Tables) -> DataFrame:
-    status = F.col("o_orderstatus")
+    status, flag = F.col("o_orderstatus"), F.col("l_returnflag")
     code = F.when(status == "P", "0").when(status == "F", "2").when((status == "O") & (F.col("o_orderkey") % 5 == 0), "9")
     rows = t.orders.select(code.alias("code"), F.when(F.col("o_orderkey") % 2 == 0, " m").otherwise("x").alias("sex"))
+    rows = rows.unionByName(t.lineitem.select(F.when(flag == "A", " 1 ").when(flag == "N", "3").otherwise("R").alias("code"), F.when(F.col("l_linestatus") == "F", "f ").otherwise("").alias("sex")))
     return rows.groupBy(P.appointment_status(F.col("code")).alias("status"), P.unknown_status(F.col("code")).alias("odd"), P.gender(F.col("sex")).alias("gender")).agg(F.count("*").alias("n"))
 
 
 @query(
     "enum_validate",
-    """SELECT c_mktsegment, CASE WHEN lower(trim(c_mktsegment)) IN ('building', 'household', 'machinery') THEN lower(c_mktsegment) END AS allowed, count(*) AS n,
- count(*) FILTER (WHERE lower(c_mktsegment) NOT IN ('building', 'household', 'machinery')) AS violations FROM customer GROUP BY ALL""",
+    """WITH v AS (SELECT c_mktsegment AS said, CASE WHEN lower(trim(c_mktsegment)) IN ('building', 'household', 'machinery') THEN lower(c_mktsegment) END AS allowed FROM customer
+ UNION ALL SELECT o_orderstatus, CASE WHEN o_orderstatus IN ('F', 'O') THEN lower(o_orderstatus) END FROM orders) SELECT said, allowed, count(*) AS n, count(*) FILTER (WHERE allowed IS NULL) AS violations FROM v GROUP BY ALL""",
 )
 def _(t: Tables) -> DataFrame:
-    word = F.lower(X.trim_u(F.col("c_mktsegment")))
-    fine = word.isin("building", "household", "machinery")
-    return t.customer.groupBy("c_mktsegment", F.when(fine, word).alias("allowed")).agg(F.count("*").alias("n"), F.sum((~fine).cast("long")).alias("violations"))
+    def checked(df: DataFrame, column: str, *allowed: str) -> DataFrame:
+        word = F.lower(X.trim_u(F.col(column)))
+        return df.select(F.col(column).alias("said"), F.when(word.isin(*allowed), word).alias("allowed"))
+
+    rows = checked(t.customer, "c_mktsegment", "building", "household", "machinery").unionByName(checked(t.orders, "o_orderstatus", "f", "o"))
+    return rows.groupBy("said", "allowed").agg(F.count("*").alias("n"), F.sum(F.col("allowed").isNull().cast("long")).alias("violations"))
 
 
 @query(
@@ -245,11 +240,28 @@ def _(t: Tables) -> DataFrame:
     return first.select("norm", F.col("first.p_partkey").alias("first_key"), F.col("first.p_name").alias("p_name"))
 
 
-@query("id_assignment_after_max", "SELECT s_suppkey, (SELECT coalesce(max(s_suppkey), 0) FROM supplier) + row_number() OVER (ORDER BY s_name, s_suppkey) AS id FROM supplier")
+@query("id_assignment_after_max", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, (SELECT coalesce(max(o_orderkey), 0) FROM orders) + row_number() OVER (ORDER BY o_orderpriority, o_orderkey DESC) AS id FROM orders")
 def _(t: Tables) -> DataFrame:
-    top = t.supplier.agg(F.coalesce(F.max("s_suppkey"), F.lit(0)).alias("top"))
-    numbered = with_ids(t.supplier.select("s_suppkey", "s_name"), "s_name", "s_suppkey", name="place")
-    return numbered.join(F.broadcast(top)).select("s_suppkey", (F.col("top") + F.col("place")).alias("id"))
+    """Rows with what they carry: ids from one written table, so counts and rows agree."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", (-F.col("o_orderkey")).alias("back"))
+    top = t.orders.agg(F.coalesce(F.max("o_orderkey"), F.lit(0)).alias("top"))
+    numbered = with_ids(rows, "o_orderpriority", "back", name="place")
+    return numbered.join(F.broadcast(top)).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", (F.col("top") + F.col("place")).alias("id"))
+
+
+@query(
+    "upsert_updated_at",
+    """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 WHEN c_custkey % 3 = 1 AND c_custkey % 2 = 0 THEN NULL ELSE c_acctbal END AS balance, c_name AS name, '2024-01-01' AS created, CASE WHEN c_custkey % 3 = 0 OR (c_custkey % 3 = 1 AND c_custkey % 2 = 0) THEN '2024-02-01' ELSE '2024-01-01' END AS updated FROM customer
+ UNION ALL SELECT c_custkey + 1000000000, c_acctbal, NULL, '2024-02-01', '2024-02-01' FROM customer WHERE c_custkey % 10 = 0""",
+)
+def _(t: Tables) -> DataFrame:
+    """A third of the rows changes, a third comes again as it is or with a null, new keys come in."""
+    k, day = F.col("c_custkey"), lambda d: F.lit(d).cast("timestamp")
+    have = t.customer.select(k.alias("id"), F.col("c_acctbal").alias("balance"), F.col("c_name").alias("name"), day("2024-01-01").alias("created_at"), day("2024-01-01").alias("updated_at"))
+    balance = F.when(k % 3 == 0, F.col("c_acctbal") + 1).when(k % 2 == 1, F.col("c_acctbal"))
+    new = t.customer.where(k % 3 != 2).select(k.alias("id"), balance.alias("balance")).unionByName(t.customer.where(k % 10 == 0).select((k + 1000000000).alias("id"), F.col("c_acctbal").alias("balance")))
+    shown = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return upsert(have, new, "id", at=day("2024-02-01")).select("id", "balance", "name", shown("created_at").alias("created"), shown("updated_at").alias("updated"))
 
 
 # Joins -----------------------------------------------------------------------
@@ -446,42 +458,39 @@ def _(t: Tables) -> DataFrame:
     return R.examples(t.events.select("event_type", "event_id"), "event_type", order="event_id").select("event_type", "event_id", "place")
 
 
-@query("agenda_by_day", "SELECT o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1997-02-01' GROUP BY ALL")
+@query("agenda_by_day", "SELECT o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, count(*) AS n FROM orders GROUP BY ALL")
 def _(t: Tables) -> DataFrame:
-    month = t.orders.where("o_orderdate >= timestamp'1997-01-01' and o_orderdate < timestamp'1997-02-01'")
-    return A.agenda(month.select("o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")), "o_orderpriority")
+    return A.agenda(t.orders.select("o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")), "o_orderpriority")
 
 
-@query("agenda_by_day_whole", "SELECT o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, count(*) AS n FROM orders GROUP BY ALL")
+@query("agenda_by_status", "SELECT o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, count(*) AS n FROM orders WHERE o_orderstatus IN ('O', 'P') GROUP BY ALL")
 def _(t: Tables) -> DataFrame:
-    return A.agenda(t.orders.select("o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")), "o_orderpriority")
+    return A.agenda(t.orders.select("o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_orderstatus").alias("status")), "o_orderpriority", status=("O", "P"))
 
 
-@query("history_by_entity", "SELECT user_id, event_id, place FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events) WHERE place <= 3")
+@query("history_by_entity", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events")
 def _(t: Tables) -> DataFrame:
-    return A.history(t.events.select("user_id", "event_id", "ts"), "user_id", "ts", "event_id", 3).select("user_id", "event_id", "place")
+    return A.history(t.events.select("user_id", "event_id", "ts"), "user_id", "ts", "event_id").select("user_id", "event_id", "place")
 
 
-@query("history_by_entity_whole", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events")
+@query("history_latest", "SELECT user_id, event_id, place FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events) WHERE place <= 3")
 def _(t: Tables) -> DataFrame:
-    return A.history(t.events.select("user_id", "event_id", "ts"), "user_id", "ts", "event_id").select("user_id", "event_id", "place")
+    """The three newest of every user: a top-k report."""
+    return A.history(t.events.select("user_id", "event_id", "ts"), "user_id", "ts", "event_id", 3).select("user_id", "event_id", "place")
 
 
-@query("free_slots", "SELECT c_custkey AS slot FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')")
+@query("search_by_name", "SELECT p_partkey, p_name FROM part WHERE ' ' || upper(p_name) || ' ' || upper(p_type) LIKE '% RED%' AND ' ' || upper(p_name) || ' ' || upper(p_type) LIKE '% ECON%'")
 def _(t: Tables) -> DataFrame:
-    return A.free_slots(t.customer.select(F.col("c_custkey").alias("slot")), t.orders.where("o_orderstatus = 'O'").select(F.col("o_custkey").alias("slot")), "slot")
+    return A.search_names(t.part, "réd  Econ", "p_name", "p_type").select("p_partkey", "p_name")
 
 
-@query("dump_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("search_by_document", "SELECT o_orderkey FROM orders WHERE o_orderkey % 1000 = 123")
 def _(t: Tables) -> DataFrame:
-    spark, base = t._spark, t._spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
+    """Numbers with points in some rows and with blanks in others."""
+    number = F.concat(F.lit("12"), F.when(F.col("o_orderkey") % 2 == 0, ".").otherwise(" "), F.lpad((F.col("o_orderkey") % 1000).cast("string"), 3, "0"))
+    return A.search_document(t.orders.select("o_orderkey", number.alias("doc_number")), "12.123").select("o_orderkey")
 
-        base = tempfile.mkdtemp(prefix="dump-")
-    import uuid
 
-    path = f"{base}/dump-{uuid.uuid4().hex}"
-    rendered(t.nation, "nation").write.option("lineSep", ";\n").text(path)
-    found = read_mysql_dump(spark, path).tables["nation"]
-    return found.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("int").alias("n_regionkey"))
+@query("free_slots", "SELECT c_custkey AS slot FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')")
+def _(t: Tables) -> DataFrame:
+    return A.free_slots(t.customer.select(F.col("c_custkey").alias("slot")), t.orders.where("o_orderstatus = 'O'").select(F.col("o_custkey").alias("slot")), "slot")

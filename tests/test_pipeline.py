@@ -4,15 +4,18 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomwork.operators.constraints import Constraints
 from loomwork.operators.lookups import first_spelling, in_order, vocabulary, with_ids
+from loomwork.operators.upsert import upsert
+from loomwork.plans import analytics as A
 from loomwork.plans import ledger as L
 from loomwork.plans import report as R
 from loomwork.plans.config import PipelineConfig, load_config
 from loomwork.plans.pipeline import SCHEMAS, Pipeline
-from loomwork.plans.store import TableStore
+from loomwork.plans.store import StoreConflict, TableStore
 from loomwork.streaming.incremental import load_stream
 
 COLUMNS = {
@@ -89,6 +92,9 @@ def test_entities(runs):
     records = table(store, "clinical_records")
     assert sorted((r["notes"] or "", str(r["visit_fee"])) for r in records) == [("", "150.00"), ("a\nb", "150.00")]
     visits = {r["status"]: r for r in table(store, "appointments")}
+    assert [(r["id"], r["doctor_id"], r["time_slot"]) for r in table(store, "schedules")] == [(1, 1, "08:00")]
+    assert (visits["completed"]["schedule_id"], visits["pending"]["schedule_id"]) == (1, None)
+    assert all(r["created_at"] == r["updated_at"] is not None for r in people.values())
     assert len(visits) == 2 and visits["completed"]["patient_id"] == people["PeñaJuan"]["id"] and visits["pending"]["patient_id"] is None
     (surgery,) = table(store, "surgeries")
     assert surgery["patient_id"] == people["PeñaJuan"]["id"]
@@ -107,6 +113,73 @@ def test_report(runs):
     again = {r["table"]: r for r in second.report["tables"]}
     assert again["caja"]["migrated"] == 0 and again["caja"]["reused"] == 2
     assert any("has changed" in e["message"] for e in second.report["examples"]["warning"])
+    assert first.report["matching"] == {"auto_linked": 3, "manual_review": 1, "no_match": 1}
+    (review,) = first.report["examples"]["manual_review"]
+    assert review["details"]["name"] == "MORENO" or len(review["details"]["candidates"]) == 2
+    text = Path(first.report_paths[1].removeprefix("file:")).read_text()
+    assert "## Patient matching" in text and "Candidates: " in text and "## No match" in text
+
+
+def test_every_event_stands_beside_the_report(spark, runs):
+    _, first, _ = runs
+    events = spark.read.schema(R.EVENTS).json(first.report["files"]["events"])
+    assert {r["type"]: r["count"] for r in events.groupBy("type").count().collect()} == first.report["events"]
+
+
+def crash(store, after):
+    """Lets ``after`` commits through and then fails, as a lost driver would, with the files written but no manifest."""
+    publish, left = store._publish, [after]
+
+    def stopped(commit):
+        if not left[0]:
+            raise RuntimeError("the driver was lost")
+        left[0] -= 1
+        publish(commit)
+
+    store._publish = stopped
+
+
+def test_a_load_that_stops_between_any_two_commits_loads_each_row_once(spark, tmp_path):
+    path = dump(tmp_path, ROWS)
+    whole = TableStore(spark, f"file://{tmp_path}/whole")
+    assert Pipeline(spark, PipelineConfig(dump=path, target=whole.root, reports=f"file://{tmp_path}/r")).run().success
+    names = ("patients", "appointments", "cash_entries")
+    target = f"file://{tmp_path}/target"
+    for after in (3, 1, 1):
+        pipeline = Pipeline(spark, PipelineConfig(dump=path, target=target, reports=f"file://{tmp_path}/r"))
+        crash(pipeline.store, after)
+        assert not pipeline.run().success
+    assert Pipeline(spark, PipelineConfig(dump=path, target=target, reports=f"file://{tmp_path}/r")).run().success
+    store = TableStore(spark, target)
+    for name in names:
+        got, want = ([{k: v for k, v in r.items() if not k.endswith("_at")} for r in table(s, name)] for s in (store, whole))
+        assert sorted(map(str, got)) == sorted(map(str, want))
+    assert store.read(L.TABLE, L.SCHEMA).count() == whole.read(L.TABLE, L.SCHEMA).count()
+
+
+def test_tables_of_a_commit_change_together(spark, tmp_path):
+    store = TableStore(spark, f"file://{tmp_path}/store")
+    rows = spark.range(3)
+    with pytest.raises(RuntimeError), store.commit() as c:
+        c.append("a", rows)
+        raise RuntimeError
+    assert store.read("a", "id long").isEmpty()
+    with store.commit() as c:
+        c.append("a", rows)
+        c.append("b", rows)
+    late = store.commit()
+    with pytest.raises(StoreConflict), late as c:
+        c.append("a", rows)
+        store.append("b", rows)
+    assert (store.read("a", "id long").count(), store.read("b", "id long").count()) == (3, 6)
+    # A manifest that its writer did not finish does not count.
+    torn = Path(f"{tmp_path}/store/_manifests/{store._newest()[0] + 1:012d}.json")
+    torn.write_text('{"a": [')
+    assert store.read("a", "id long").count() == 3
+    store.overwrite("a", spark.range(1))
+    assert store.read("a", "id long").count() == 1 and store.read("b", "id long").count() == 6
+    store.truncate("a", "b")
+    assert store.read("b", "id long").isEmpty()
 
 
 def test_failures_are_results(spark, tmp_path):
@@ -147,6 +220,16 @@ def test_lookups(spark):
     assert sorted(tuple(r) for r in in_order(rows, "k", "x", "y", "z").where("k = 2").collect()) == [(2, "b", 1), (2, "c", 3), (2, "á", 2)]
     ids = with_ids(spark.range(1000).select(F.col("id").alias("v")), "v", start=7)
     assert ids.where("id <> v + 8").count() == 0 and ids.count() == 1000
+    assert with_ids(spark.range(0), "id", name="n").count() == 0
+
+
+def test_ids_of_many_wide_rows_are_unique_and_without_gaps(spark, tmp_path):
+    rows = spark.range(1_000_000).select(F.hash("id").alias("v"), *[F.concat(F.lit(f"column {k} "), F.col("id").cast("string")).alias(f"c{k}") for k in range(4)])
+    with_ids(rows, "v", start=75).write.parquet(f"file://{tmp_path}/ids")
+    found = spark.read.parquet(f"file://{tmp_path}/ids")
+    assert found.agg(F.count("id"), F.countDistinct("id"), F.min("id"), F.max("id")).first()[:] == (1_000_000, 1_000_000, 76, 1_000_075)
+    steps = found.select("v", F.lead("v").over(Window.partitionBy((F.col("id") / 1000).cast("long")).orderBy("id")).alias("after"))
+    assert steps.where("after < v").isEmpty()
 
 
 def test_constraints(spark):
@@ -161,6 +244,36 @@ def test_report_helpers():
     assert R.duration(3725) == "1h 2m 5s" and R.escaped("a|b") == "a\\|b"
 
 
+def test_upsert(spark):
+    old = spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, "c", "y")], "id int, v string, w string").withColumns({c: F.lit("2024-01-01").cast("timestamp") for c in ("created_at", "updated_at")})
+    new = spark.createDataFrame([(1, "a"), (2, None), (4, "d")], "id int, v string")
+    found = upsert(old, new, "id", at=F.lit("2024-02-02").cast("timestamp")).orderBy("id").collect()
+    assert [(r.id, r.v, r.w, r.created_at.month, r.updated_at.month) for r in found] == [(1, "a", None, 1, 1), (2, None, "x", 1, 2), (3, "c", "y", 1, 1), (4, "d", None, 2, 2)]
+
+
+def test_searches(spark):
+    people = spark.createDataFrame([(1, "Peña", "José", "12.345"), (2, "Pena", "Ana", "99"), (3, None, "josefa", None)], "id int, last string, first string, doc_number string")
+    ids = lambda df: sorted(r.id for r in df.collect())
+    assert ids(A.search_names(people, " jose", "last", "first")) == [1, 3] and ids(A.search_names(people, "pen an", "last", "first")) == [2]
+    assert ids(A.search_names(people, " - ", "last", "first")) == [] and ids(A.search_document(people, "12345")) == [1]
+
+
+def test_a_stream_that_stops_before_its_commit_loads_each_row_once(spark, tmp_path):
+    schema = "source_pk string, payload_hash string, name string"
+    spark.createDataFrame([(x, "h", x.upper()) for x in "abc"], schema).coalesce(1).write.parquet(f"file://{tmp_path}/in")
+    for after in (0, 1):
+        store = TableStore(spark, f"file://{tmp_path}/store")
+        crash(store, after)
+        query = load_stream(spark.readStream.schema(schema).parquet(f"file://{tmp_path}/in"), store, "letters", "names", "id long, name string", f"file://{tmp_path}/state")
+        if after:
+            query.awaitTermination()
+        else:
+            with pytest.raises(Exception, match="lost"):
+                query.awaitTermination()
+    assert sorted((r.id, r.name) for r in store.read("names", "id long, name string").collect()) == [(1, "A"), (2, "B"), (3, "C")]
+    assert store.read(L.TABLE, L.SCHEMA).count() == 3
+
+
 def test_stream_loads_each_row_once(spark, tmp_path):
     store = TableStore(spark, f"file://{tmp_path}/store")
     schema = "source_pk string, payload_hash string, name string"
