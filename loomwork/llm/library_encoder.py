@@ -125,14 +125,3 @@ def encoder_of(tokenizer_json: str, **options) -> LibraryEncoder:
         _kept.clear()
         _kept[key] = LibraryEncoder(tokenizer_json, **options)
     return _kept[key]
-
-
-def text_groups(texts: list[str | None], most_chars: int = 4_000_000):
-    """(start, texts) groups of a batch; null counts as empty."""
-    start, group, chars = 0, [], 0
-    for i, text in enumerate(texts):
-        group.append(text or "")
-        chars += len(group[-1])
-        if chars >= most_chars or i + 1 == len(texts):
-            yield start, group
-            start, group, chars = i + 1, [], 0

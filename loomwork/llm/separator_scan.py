@@ -5,7 +5,8 @@ fixed number of ids; in each block one vectorised comparison finds the
 separators.  A document that begins in an earlier block ends at the first
 separator of a later one, so its start is the last separator before it: a
 running maximum over the blocks of a file.  Files start and end with whole
-documents, so every file is scanned by itself.
+documents, so every file is scanned by itself, and a second prefix sum, over the
+files, gives each document its place in the corpus.
 """
 
 from __future__ import annotations
@@ -18,23 +19,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared_folder import open_fs, publish, shared_path, written
+from .shared_folder import broadcast_up_to, open_fs, publish, shared_path, spread, written
 from .token_frames import encoded, id_width
 
 BLOCK_IDS = 1 << 20
+BROADCAST_ROWS = 1_000_000
 
 
-def flat_name(shard: int) -> str:
-    return f"flat-{shard:06d}.bin"
+def flat_name(shard: int, attempt: int) -> str:
+    return f"flat-{shard:06d}-{attempt}.bin"
 
 
-def write_flat_files(docs: DataFrame, tokenizer_path: str, end_id: int, *, folder: str | None = None) -> tuple[str, int, DataFrame]:
-    """A flat file for each partition: folder, bytes of an id, and (shard, ordinal, doc_id) of the documents.
+def write_flat_files(docs: DataFrame, tokenizer_path: str, end_id: int, *, folder: str | None = None) -> tuple[str, int, list, DataFrame]:
+    """A flat file for each partition: folder, bytes of an id, (shard, name, ids) of the files, (shard, ordinal, doc_id) of the documents.
 
-    Partitions stay as they are, so texts are not shuffled; in a file, documents
-    go by doc_id and text, so a repeated task writes the same file again.
-    Strings of added tokens in a text are encoded as text, so the end id stands
-    between documents only.
+    Partitions of large tables stay as they are, so their texts are not shuffled;
+    in a file, documents go by doc_id and text.  Strings of added tokens in a text
+    are encoded as text, so the end id stands between documents only.
     """
     spark = docs.sparkSession
     folder = folder or shared_path(spark, "flat-tokens")
@@ -42,6 +43,7 @@ def write_flat_files(docs: DataFrame, tokenizer_path: str, end_id: int, *, folde
         text = f.read()
     setup = spark.sparkContext.broadcast(text)
     width = id_width(text)
+    schema = pa.schema([("shard", pa.int64()), ("ordinal", pa.int64()), ("doc_id", pa.int64()), ("name", pa.string()), ("ids", pa.int64())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -55,13 +57,18 @@ def write_flat_files(docs: DataFrame, tokenizer_path: str, end_id: int, *, folde
         parts = chunks()
         if (head := next(parts, None)) is None:
             return
-        publish(f"{folder}/{flat_name(task.partitionId())}", (x for part in ((head,), parts) for x in part), str(task.taskAttemptId()))
+        shard, name = task.partitionId(), flat_name(task.partitionId(), task.taskAttemptId())
+        size = publish(f"{folder}/{name}", (x for part in ((head,), parts) for x in part))
+        yield pa.RecordBatch.from_pylist([{"shard": shard, "name": name, "ids": size // width}], schema=schema)
         for a in range(0, len(order), 10_000):
             some = order[a : a + 10_000]
-            yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()] * len(some), pa.int64()), pa.array(range(a, a + len(some)), pa.int64()), pa.array(some, pa.int64())], names=["shard", "ordinal", "doc_id"])
+            yield pa.RecordBatch.from_pydict({"shard": [shard] * len(some), "ordinal": list(range(a, a + len(some))), "doc_id": some, "name": [None] * len(some), "ids": [None] * len(some)}, schema=schema)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).sortWithinPartitions("doc_id", "text")
-    return folder, width, written(rows.mapInArrow(write, "shard long, ordinal long, doc_id long"), "flat-order")
+    rows = spread(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).sortWithinPartitions("doc_id", "text")
+    # A row for the file, then a row for each of its documents.
+    order = written(rows.mapInArrow(write, "shard long, ordinal long, doc_id long, name string, ids long"), "flat-order")
+    files = sorted(tuple(r) for r in order.where("name is not null").select("shard", "name", "ids").collect())
+    return folder, width, files, order.where("name is null").select("shard", "ordinal", "doc_id")
 
 
 def scan_flat_files(spark: SparkSession, files: list[tuple[int, str]], width: int, end_id: int, *, block_ids: int = BLOCK_IDS) -> DataFrame:
@@ -112,14 +119,20 @@ def scan_flat_files(spark: SparkSession, files: list[tuple[int, str]], width: in
 def token_counts(docs: DataFrame, tokenizer_path: str, end_id: int, *, block_ids: int = BLOCK_IDS) -> DataFrame:
     """doc_id, shard, start, n_tokens of every row of ``docs`` (doc_id, text), counted in flat files.
 
-    There is a flat file, a shard, for each partition of the table; start is the
-    document's place in it, separators included, and n_tokens leaves the separator
-    out.  Null and empty texts have 0 tokens.  Rows that share a doc_id each have a
-    row, and so have rows without one.  Other columns are not read; an empty table
-    gives an empty result.
+    There is a flat file, a shard, for each partition of the table; the corpus is
+    the files in order.  start is the document's place in the corpus, separators
+    included, and n_tokens leaves the separator out.  Null and empty texts have 0
+    tokens.  Rows that share a doc_id each have a row, and so have rows without
+    one.  Other columns are not read; an empty table gives an empty result.  The
+    driver sees a row for each file.
     """
     spark = docs.sparkSession
-    folder, width, order = write_flat_files(docs, tokenizer_path, end_id)
-    shards = [r.shard for r in order.select("shard").distinct().collect()]
-    found = scan_flat_files(spark, [(s, f"{folder}/{flat_name(s)}") for s in sorted(shards)], width, end_id, block_ids=block_ids)
-    return order.join(found, ["shard", "ordinal"]).select("doc_id", "shard", "start", "n_tokens")
+    folder, width, files, order = write_flat_files(docs, tokenizer_path, end_id)
+    found = scan_flat_files(spark, [(s, f"{folder}/{name}") for s, name, _ in files], width, end_id, block_ids=block_ids)
+    bases, total = [], 0
+    for shard, _, ids in files:
+        bases.append((shard, total))
+        total += ids
+    base = broadcast_up_to(spark.createDataFrame(bases, "shard long, base long"), BROADCAST_ROWS)
+    rows = order.join(found, ["shard", "ordinal"]).join(base, "shard")
+    return rows.select("doc_id", "shard", (F.col("base") + F.col("start")).alias("start"), "n_tokens")

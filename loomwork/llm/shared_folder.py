@@ -1,39 +1,37 @@
-"""The folder that driver and executors share, and files in it.
-
-Paths come from ``spark.checkpoint.dir``.  Only where that is unset, as in
-tests, a temporary folder takes its place.
-"""
+"""Intermediate tables and files in the folder that driver and executors share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own: dict[str, str] = {}
+from loomwork import scratch
+from loomwork.scratch import shared_path
 
+__all__ = ["broadcast_up_to", "open_fs", "publish", "shared_path", "spread", "written"]
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the shared folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        app = spark.sparkContext.applicationId
-        if app not in _own:
-            _own[app] = "file://" + tempfile.mkdtemp(prefix="shared-")
-        base = _own[app]
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+#: Bytes of the Arrow batches that Python workers get while a table is written.
+BATCH_BYTES = 8 << 20
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it again.
+@contextmanager
+def _batches_of(spark: SparkSession, most_bytes: int) -> Iterator[None]:
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
-    This cuts the lineage: a lost executor costs a read, never a recomputation.
-    """
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+def written(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
+    """scratch.written(), with Arrow batches of BATCH_BYTES: a worker's memory does not follow the size of rows."""
+    with _batches_of(df.sparkSession, BATCH_BYTES):
+        return scratch.written(df, name, by=by)
 
 
 def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
@@ -48,19 +46,32 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def publish(uri: str, data_chunks, attempt: str) -> int:
-    """Write chunks to a temporary name, then rename: readers see whole files only.
+def publish(uri: str, data_chunks) -> int:
+    """Write chunks to a new file; returns the bytes written.
 
-    Content is a function of the input, so a repeated or speculative attempt
-    replaces a file by an equal one.  Returns the bytes written.
+    The name holds the task's attempt, and only the row that the attempt returns
+    names the file.  So a repeated or speculative attempt writes a file of its own,
+    and one that fails leaves a file that nothing reads.
     """
     store, path = open_fs(uri)
     store.create_dir(path.rpartition("/")[0], recursive=True)
-    hidden = f"{path}.{attempt}.tmp"
     total = 0
-    with store.open_output_stream(hidden) as out:
+    with store.open_output_stream(path, compression=None) as out:
         for chunk in data_chunks:
             out.write(chunk)
             total += len(chunk)
-    store.move(hidden, path)
     return total
+
+
+#: Tables of fewer bytes for each core are dealt out to all cores before Python works on their texts.
+SPREAD_BYTES = 8 << 20
+
+
+def spread(docs: DataFrame) -> DataFrame:
+    """``docs`` with a partition for each core if the table is so small that its files may give fewer.
+
+    Larger tables stay as they are, and their texts are not shuffled.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return docs.repartition(cores) if size < cores * SPREAD_BYTES else docs

@@ -7,6 +7,8 @@ Python code runs per word.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -61,6 +63,17 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def in_pieces(batch: pa.RecordBatch, most_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts together stay near ``most_bytes``; one longer text is a slice of its own."""
+    ends = flat_bytes(batch.column("text"))[1][1:]
+    start = 0
+    while start < batch.num_rows:
+        done = int(ends[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, done + most_bytes, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and the n+1 word offsets of the texts.
 

@@ -22,8 +22,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .library_encoder import encoder_of, text_groups
+from .library_encoder import encoder_of
 from .shared_folder import open_fs, publish, shared_path
+from .textbytes import in_pieces
 
 # Fixed values of the zstandard seekable format.
 SEEK_TABLE_MAGIC = 0x184D2A5E
@@ -105,24 +106,30 @@ class FrameFile:
 
 
 def in_id_order(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) range-partitioned and sorted; the text orders rows that share a doc_id."""
+    """(doc_id, text) range-partitioned and sorted by doc_id, null first.
+
+    Rows that share a doc_id, or have none, go by the hash of their texts: so they
+    fill as many ranges as their number asks for.
+    """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
+    order = ("doc_id", "tie", "text")
+    return docs.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order[:2]).sortWithinPartitions(*order).select("doc_id", "text")
 
 
 def encoded(batches: Iterator[pa.RecordBatch], tokenizer_json: str, end: bytes, **options) -> Iterator[tuple[int | None, bytes]]:
     """(doc_id, ids with the end id) of every row."""
     encoder = encoder_of(tokenizer_json, **options)
     for batch in batches:
-        doc_ids = batch.column("doc_id").to_pylist()
-        for start, texts in text_groups(batch.column("text").to_pylist()):
-            for k, ids in enumerate(encoder.encode(texts)):
-                yield doc_ids[start + k], ids + end
+        for piece in in_pieces(batch):
+            texts = [x or "" for x in piece.column("text").to_pylist()]
+            for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+                yield doc_id, ids + end
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, *, folder: str | None = None, end_id: int = END_ID) -> tuple[str, list]:
-    """Write one file for each range of doc_ids; the folder and a (shard, n_docs, n_tokens) row for each file."""
+    """Write one file for each range of doc_ids; the folder and a (shard, name, n_docs, n_tokens) row for each file."""
     spark = docs.sparkSession
     folder = folder or shared_path(spark, "token-frames")
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -143,11 +150,11 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, *, folder: str | Non
         documents = counted()
         if (head := next(documents, None)) is None:
             return
-        chunks = file_chunks((x for part in ((head,), documents) for x in part), id_bytes)
-        publish(f"{folder}/{shard_name(task.partitionId())}", chunks, str(task.taskAttemptId()))
-        yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()], pa.int64()), pa.array(n[:1], pa.int64()), pa.array(n[1:], pa.int64())], names=["shard", "n_docs", "n_tokens"])
+        name = shard_name(task.partitionId(), task.taskAttemptId())
+        publish(f"{folder}/{name}", file_chunks((x for part in ((head,), documents) for x in part), id_bytes))
+        yield pa.RecordBatch.from_pydict({"shard": [task.partitionId()], "name": [name], "n_docs": n[:1], "n_tokens": n[1:]}, schema=pa.schema([("shard", pa.int64()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
-    shards = in_id_order(docs).mapInArrow(write, "shard long, n_docs long, n_tokens long")
+    shards = in_id_order(docs).mapInArrow(write, "shard long, name string, n_docs long, n_tokens long")
     return folder, sorted(shards.collect())
 
 
@@ -158,21 +165,21 @@ def id_width(tokenizer_json: str) -> int:
     return 2 if Tokenizer.from_str(tokenizer_json).get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
 
-def shard_name(shard: int) -> str:
-    return f"shard-{shard:06d}.zst"
+def shard_name(shard: int, attempt: int) -> str:
+    return f"shard-{shard:06d}-{attempt}.zst"
 
 
 def read_token_files(spark, folder: str, shards: list) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
     starts, total = [], 0
-    for shard, n_docs, n_tokens in shards:
-        starts.append((shard, n_docs, total))
+    for _, name, _, n_tokens in shards:
+        starts.append((name, total))
         total += n_tokens
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                file = FrameFile(f"{folder}/{shard_name(row['shard'])}")
+                file = FrameFile(f"{folder}/{row['name']}")
                 start, out = row["start"], ([], [], [], [])
                 for doc_id, ids in zip(file.doc_ids, file, strict=True):
                     for column, x in zip(out, (doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())), strict=True):
@@ -181,7 +188,7 @@ def read_token_files(spark, folder: str, shards: list) -> DataFrame:
                 file.close()
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    files = spark.createDataFrame(starts, "shard long, n_docs long, start long").repartition(max(1, len(starts)))
+    files = spark.createDataFrame(starts, "name string, start long").repartition(max(1, len(starts)))
     return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
@@ -189,7 +196,7 @@ def token_files(docs: DataFrame, tokenizer_path: str, *, folder: str | None = No
     """Write the token files of ``docs`` (doc_id, text) and describe every document as read back.
 
     A null or empty text is the end id alone.  Rows that share a doc_id each get
-    a frame.  Rows without a doc_id come first.  Other columns are not read; an
+    a frame, in the order of their texts' hashes.  Rows without a doc_id come first.  Other columns are not read; an
     empty table gives no file and no row.  The driver sees a row for each file.
     """
     folder, shards = write_token_files(docs, tokenizer_path, folder=folder, end_id=end_id)

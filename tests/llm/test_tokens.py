@@ -13,7 +13,7 @@ from loomwork.llm import queries
 from loomwork.llm.bpe_segment_tree import SegmentTreeBPE, bpe_round_trip
 from loomwork.llm.library_encoder import LibraryEncoder
 from loomwork.llm.separator_scan import scan_flat_files, token_counts
-from loomwork.llm.token_frames import CorruptFrame, FrameFile, file_chunks, shard_name, token_files, write_token_files
+from loomwork.llm.token_frames import CorruptFrame, FrameFile, file_chunks, token_files, write_token_files
 
 from .conftest import SF
 
@@ -83,7 +83,7 @@ def test_files_are_zstandard_and_read_by_document(tmp_path):
 
 def test_frames_of_odd_documents(spark, odd_docs, no_docs):
     folder, shards = write_token_files(odd_docs, BYTES)
-    files = [FrameFile(f"{folder}/{shard_name(s[0])}") for s in shards]
+    files = [FrameFile(f"{folder}/{s.name}") for s in shards]
     assert [i for f in files for i in f.doc_ids] == [None, None, 1, 2, 3, 4, 4, 4, 5, 7, 8, 9, 10]
     rows = token_files(odd_docs, BYTES).orderBy("start").collect()
     assert [r.n_tokens for r in rows if r.doc_id in (1, 2)] == [1, 1]
@@ -94,12 +94,13 @@ def test_frames_of_odd_documents(spark, odd_docs, no_docs):
 def test_query_7_against_the_library(spark, texts):
     library = Tokenizer.from_file(BYTES)
     library.encode_special_tokens = True
-    found, start = {r.doc_id: r for r in queries.op7_separator_scan(spark, SF).collect()}, {}
-    assert set(found) == set(texts)
-    for doc_id, text in sorted(texts.items()):
-        n, r = len(library.encode(text, add_special_tokens=False).ids), found[doc_id]
-        assert (r.start, r.n_tokens) == (start.get(r.shard, 0), n)
-        start[r.shard] = r.start + n + 1
+    found, start = {r.doc_id: r for r in queries.op7_separator_scan(spark, SF).collect()}, 0
+    assert set(found) == set(texts) and len({r.shard for r in found.values()}) > 1
+    # The corpus is the files in order, and in each the documents in order.
+    for r in sorted(found.values(), key=lambda r: (r.shard, r.doc_id)):
+        n = len(library.encode(texts[r.doc_id], add_special_tokens=False).ids)
+        assert (r.start, r.n_tokens) == (start, n)
+        start += n + 1
 
 
 @pytest.mark.parametrize("block", [1, 3, 7, 100])
