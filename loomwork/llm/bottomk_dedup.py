@@ -7,8 +7,9 @@ shingle's identity and as its random order.
 1.  Documents with equal sets form one class; from here on a class is one node.
 2.  Retained values are counted over all nodes.  Values of one node alone link
     nothing.  Two sets of similarity 0.75 that both have k shingles or more share
-    at least ``need`` of the values that both retain (all but about 4e-10 of such
-    pairs for k = 64, need = 24).  A set of n < k shingles surely shares 0.75 n with
+    at least ``need`` of the values that both retain: the k smallest values of
+    their union are a random sample of it, and sure() sets ``need`` so that at
+    most one such pair in 10^15 shares fewer (need = 18 for k = 64).  A set of n < k shingles surely shares 0.75 n with
     a partner that retains all of its own; a larger partner has up to n / 0.75 and
     leaves out all but k of them, so n + k - n / 0.75 are sure.  So it is enough that
     each node enters the inverted lists of its ``size - least + 1`` rarest values,
@@ -22,7 +23,8 @@ shingle's identity and as its random order.
     short lists of such shingles; or their common part lies in C, and then they can
     only link if (|f| + |y|) * 3 / 7 <= min(|f n C|, |y n C|), which a join on
     sizes finds.  Either way nothing is lost.
-5.  Pairs pass the union-sketch estimate, then exact Jaccard on full sets.
+5.  Pairs pass the union-sketch estimate, then exact Jaccard on full sets.  A
+    hub's set comes once for each block of its members, which stream past it.
 
 Only pairs that can change the components are looked at, so a group of any size
 costs its members times its hubs, not its square.
@@ -30,6 +32,7 @@ costs its members times its hubs, not its square.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,17 +42,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared_folder import broadcast_up_to, written
-from .textbytes import flat_bytes, mix, shingle_hashes, word_bounds, word_hashes
+from .textbytes import flat_bytes, in_pieces, mix, shingle_hashes, word_bounds, word_hashes
 
 WIDTH = 5
 K = 64
-NEED = 24
 #: Links: 100 * intersection >= 75 * union.
 PERCENT = 75
+#: The chance that a link of two sets beyond the sketch shares fewer retained values than is asked for.
+MISSED = 1e-15
 #: Lists of up to so many nodes give their pairs across components.
 SHORT = 24
 #: The wanted (node, doc_id) rows are broadcast up to so many, and joined by a shuffle beyond.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 500_000
+#: Members that one task compares with their hub before another task takes more of them.
+MEMBERS = 1_000
+#: Nodes of so many edges have their edges joined where they are, not dealt to one task.
+HEAVY = 10_000
+
+
+def sure(k: int, percent: int, missed: float = MISSED) -> int:
+    """Retained values that two linked sets beyond the sketch share, but for a chance of ``missed``.
+
+    Of the k smallest values of the union each is common with a chance of percent
+    / 100 at least; a draw without repetition strays less than the binomial does.
+    """
+    p, tail, need = percent / 100, 0.0, 0
+    while need < k and (tail := tail + math.comb(k, need) * p**need * (1 - p) ** (k - need)) <= missed:
+        need += 1
+    return need
 
 
 def _sets(column: pa.Array, width: int) -> list[np.ndarray]:
@@ -59,20 +79,10 @@ def _sets(column: pa.Array, width: int) -> list[np.ndarray]:
     return [np.unique(shingles[bounds[i] : bounds[i + 1]]) for i in range(len(words) - 1)]
 
 
-def _in_pieces(batch: pa.RecordBatch, most_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts together stay near ``most_bytes``."""
-    lengths = np.diff(flat_bytes(batch.column("text"))[1])
-    piece = np.cumsum(lengths) // most_bytes
-    edges = [0, *(np.flatnonzero(np.diff(piece)) + 1), batch.num_rows]
-    for a, b in zip(edges, edges[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def _sketch(width: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _in_pieces(whole):
+            for batch in in_pieces(whole):
                 sets = _sets(batch.column("text"), width)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -100,37 +110,58 @@ def _full_sets(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _in_pieces(whole):
+            for batch in in_pieces(whole):
                 sets = [s if _node_key(s) == node else None for s, node in zip(_sets(batch.column("text"), width), batch.column("node").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([None if s is None else s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
     return run
 
 
+def _estimated(a: np.ndarray, b: np.ndarray, k: int) -> int | None:
+    """Common values among the k smallest of the union of two sketches; None if the union is smaller."""
+    merged = np.sort(np.concatenate((a, b)))
+    first = np.concatenate(([True], merged[1:] != merged[:-1]))
+    distinct = np.flatnonzero(first)
+    if len(distinct) < k:
+        return None
+    upto = int(distinct[k - 1]) + 1
+    # The k-th value counts as common if it stands twice.
+    upto += upto < len(merged) and merged[upto] == merged[upto - 1]
+    return upto - k
+
+
 def _verify(k: int, need: int, percent: int):
-    """Estimate, then exact intersection; ``outside`` only for members of long lists."""
+    """Estimate, then exact intersection of hubs and members; ``outside`` only for members of long lists.
+
+    Rows come by hub: the hub's own set first, then its members.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, own = None, np.zeros(0, np.uint64)
         for batch in batches:
-            common, linked, outside = [], [], []
-            for a, b, wanted in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), batch.column("long").to_pylist(), strict=True):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                if not wanted:
-                    # The union's k smallest values, and those of them in both sets.
-                    x, y = a[:k], b[:k]
-                    union = np.union1d(x, y)[:k]
-                    both = np.intersect1d(x, y, assume_unique=True)
-                    if len(union) == k and np.searchsorted(both, union[-1], side="right") < need:
-                        common.append(None)
-                        linked.append(False)
-                        outside.append(None)
-                        continue
-                n = len(np.intersect1d(a, b, assume_unique=True))
+            data, offsets = flat_bytes(batch.column("shingles"))
+            rows, common, linked, outside = [], [], [], []
+            for row, (a, member, wanted) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").is_valid().to_pylist(), batch.column("long").to_pylist(), strict=True)):
+                b = data[offsets[row] : offsets[row + 1]].view(np.uint64)
+                if not member:
+                    hub, own = a, b.copy()
+                    continue
+                if a != hub:
+                    raise ValueError("a member without its hub")
+                rows.append(row)
+                if not wanted and (shared := _estimated(own[:k], b[:k], k)) is not None and shared < need:
+                    common.append(None)
+                    linked.append(False)
+                    outside.append(None)
+                    continue
+                both = own[np.minimum(np.searchsorted(own, b), len(own) - 1)] == b
+                n = int(both.sum())
                 common.append(n)
-                linked.append(100 * n >= percent * (len(a) + len(b) - n))
-                outside.append(np.setdiff1d(b, a, assume_unique=True).view(np.int64) if wanted else None)
+                linked.append(100 * n >= percent * (len(own) + len(b) - n))
+                outside.append(b[~both].view(np.int64) if wanted else None)
+            kept = batch.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), batch.column("long"), batch.column("n_a"), batch.column("n_b"), pa.array(common, pa.int64()), pa.array(linked, pa.bool_()), pa.array(outside, pa.list_(pa.int64()))],
+                [*[kept.column(c) for c in ("a", "b", "long", "n_a", "n_b")], pa.array(common, pa.int64()), pa.array(linked, pa.bool_()), pa.array(outside, pa.list_(pa.int64()))],
                 names=["a", "b", "long", "n_a", "n_b", "common", "linked", "outside"],
             )
 
@@ -143,7 +174,23 @@ def _all_stars(edges: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _with_low(edges: DataFrame, heavy: int) -> DataFrame:
+    """Edges (u, v) with m, the smallest neighbour of u.
+
+    A node of many edges would bring them all to one task.  There are few such
+    nodes, one for ``heavy`` edges at most: their rows are broadcast up to a size,
+    and their edges stay where they are.
+    """
+    low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    hot = written(low.where(F.col("n") >= heavy).select(F.col("u").alias("hot"), F.col("m").alias("hot_m")), "heavy-nodes")
+    low = low.where(F.col("n") < heavy).select("u", "m")
+    if hot.isEmpty():
+        return edges.join(low, "u").select("u", "v", "m")
+    marked = edges.join(broadcast_up_to(hot, BROADCAST_ROWS), F.col("u") == F.col("hot"), "left")
+    return marked.where("hot is not null").select("u", "v", F.col("hot_m").alias("m")).unionByName(marked.where("hot is null").select("u", "v").join(low, "u").select("u", "v", "m"))
+
+
+def components(edges: DataFrame, *, heavy: int = HEAVY) -> DataFrame:
     """(node, root) of every node that has an edge; root is the smallest node reachable.
 
     Alternates large-star and small-star steps, which keep connectivity and end
@@ -153,10 +200,10 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     while not _all_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v")))
+        low = _with_low(both, heavy).select("u", "v", F.least("u", "m").alias("m"))
+        large = written(low.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-stars")
+        low = _with_low(large, heavy)
+        small = low.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v")))
         edges = written(small.distinct(), "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
@@ -166,13 +213,13 @@ def _sizes_fit(percent: int):
     return 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
 
 
-def _across(entries: DataFrame) -> DataFrame:
+def _across(entries: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, n_a, n_b) of a list's nodes (value, node, n, root) that stand in different components."""
     mixed = entries.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("value")
     entries = entries.join(mixed, "value", "left_semi")
     a = entries.select("value", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
     b = entries.select("value", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    return a.join(b, (a["value"] == b["value"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _sizes_fit(PERCENT)).select("a", "b", "n_a", "n_b").distinct()
+    return a.join(b, (a["value"] == b["value"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _sizes_fit(percent)).select("a", "b", "n_a", "n_b").distinct()
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
@@ -188,8 +235,10 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     return labelled(docs, **options).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, need: int = NEED, percent: int = PERCENT, short: int = SHORT) -> DataFrame:
+def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, percent: int = PERCENT, short: int = SHORT, members: int = MEMBERS, heavy: int = HEAVY) -> DataFrame:
     """near_duplicates() with the node: the key of the row's set, null without shingles."""
+    need = sure(k, percent)
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = written(docs.mapInArrow(_sketch(width, k), "doc_id long, n_shingles long, node binary, sketch array<long>"), "sketches")
     nodes = written(
@@ -226,13 +275,19 @@ def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, need: int = NEE
         found = docs.join(broadcast_up_to(texts.withColumnRenamed("doc_id", "low"), BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("low")))
         full = found.select("node", "text").mapInArrow(_full_sets(width), "node binary, shingles binary").where("shingles is not null").dropDuplicates(["node"])
         full = written(full, "sets")
-        with_b = pairs.join(full.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
-        with_both = with_b.join(full.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
-        return written(with_both.mapInArrow(_verify(k, need, percent), "a binary, b binary, long boolean, n_a long, n_b long, common long, linked boolean, outside array<long>"), name)
+        # Hubs of many members are cut into blocks; there is one such hub for ``members`` pairs at most.
+        large = written(pairs.groupBy("a").agg(F.ceil(F.count("*") / members).alias("blocks")).where("blocks > 1"), "large-hubs")
+        block = F.pmod(F.xxhash64("b"), F.coalesce("blocks", F.lit(1)))
+        dealt = written(pairs.join(broadcast_up_to(large, BROADCAST_ROWS), "a", "left").select("a", block.alias("block"), "b", "long", "n_a", "n_b"), "dealt-pairs")
+        of_members = dealt.join(full.withColumnRenamed("node", "b"), "b").select("a", "block", "b", "long", "n_a", "n_b", "shingles")
+        of_hubs = dealt.select("a", "block").distinct().join(full.withColumnRenamed("node", "a"), "a")
+        of_hubs = of_hubs.select("a", "block", *[F.lit(None).cast(t).alias(c) for c, t in (("b", "binary"), ("long", "boolean"), ("n_a", "long"), ("n_b", "long"))], "shingles")
+        by_hub = of_hubs.unionByName(of_members).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
+        return written(by_hub.mapInArrow(_verify(k, need, percent), "a binary, b binary, long boolean, n_a long, n_b long, common long, linked boolean, outside array<long>"), name)
 
     star_pairs = verified(stars, "star_pairs")
     links = star_pairs.where("linked").select("a", "b")
-    root = written(components(links), "roots")
+    root = written(components(links, heavy=heavy), "roots")
 
     def rooted(df: DataFrame, column: str, name: str) -> DataFrame:
         of = root.select(F.col("node").alias(column), F.col("root").alias(name))
@@ -240,7 +295,7 @@ def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, need: int = NEE
 
     # Short lists: pairs across components.
     open_lists = entries.join(hubs.where(F.col("members") <= short).select("value"), "value", "left_semi")
-    across = _across(rooted(open_lists, "node", "root"))
+    across = _across(rooted(open_lists, "node", "root"), percent)
 
     # Long lists: shingles outside the hub, and members that sizes leave open.
     long_pairs = written(rooted(rooted(star_pairs.where("long"), "a", "root_a"), "b", "root_b"), "long_pairs")
@@ -253,7 +308,8 @@ def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, need: int = NEE
     met = _across(
         beyond.where(F.col("members") <= short)
         .join(long_pairs.select("a", "b", F.col("n_b").alias("n"), F.col("root_b").alias("root")), ["a", "b"])
-        .select(F.struct("a", "value").alias("value"), F.col("b").alias("node"), "n", "root")
+        .select(F.struct("a", "value").alias("value"), F.col("b").alias("node"), "n", "root"),
+        percent,
     )
 
     smaller = by_hub.select("a", F.col("b").alias("y"), F.col("n").alias("n_y"), F.col("common").alias("common_y"), F.col("root_b").alias("root_y"))
@@ -271,7 +327,7 @@ def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, need: int = NEE
 
     more = across.unionByName(met).unionByName(inside).where(_sizes_fit(percent)).distinct().withColumn("long", F.lit(False))
     later = verified(written(more, "pairs"), "later_pairs").where("linked").select("a", "b")
-    root = written(components(links.unionByName(later)), "roots")
+    root = written(components(links.unionByName(later), heavy=heavy), "roots")
 
     of_node = nodes.select("node", "low").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     labels = of_node.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -301,7 +357,7 @@ def without_near_duplicates(docs: DataFrame, *, width: int = WIDTH, **options) -
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _in_pieces(whole):
+            for batch in in_pieces(whole):
                 keys = [_node_key(s) for s in _sets(batch.column("text"), width)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=[*names, "m_node"])
 
