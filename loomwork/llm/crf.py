@@ -21,6 +21,7 @@ class Chains:
     def __post_init__(self) -> None:
         lengths = np.diff(self.offsets)
         order = np.argsort(-lengths, kind="stable")
+        self.order = order
         self.starts = self.offsets[:-1][order]
         self.lengths = lengths[order]
         # Sequences that have a token at each position; they are the first so many.
@@ -37,8 +38,12 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis=axis)) + np.squeeze(top, axis)
 
 
-def forward_backward(emissions: np.ndarray, transitions: np.ndarray, chains: Chains) -> tuple[np.ndarray, np.ndarray, float]:
-    """Label marginals of every token, summed marginals of label pairs, and the sum of log partitions."""
+def forward_backward(emissions: np.ndarray, transitions: np.ndarray, chains: Chains, share: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
+    """Label marginals of every token, summed marginals of label pairs, and the sum of log partitions.
+
+    ``share`` counts a sequence's pairs more or less than once in their sum.
+    """
+    each = None if share is None else share[chains.order]
     forward, backward = np.zeros_like(emissions), np.zeros_like(emissions)
     for t, rows in chains.positions():
         forward[rows] = emissions[rows] + (_log_sum(forward[rows - 1][:, :, None] + transitions, 1) if t else 0)
@@ -53,7 +58,8 @@ def forward_backward(emissions: np.ndarray, transitions: np.ndarray, chains: Cha
         total_of[rows] = total[: len(rows)]
         if t:
             joint = forward[rows - 1][:, :, None] + transitions + (emissions[rows] + backward[rows])[:, None, :]
-            pairs += np.exp(joint - total[: len(rows), None, None]).sum(axis=0)
+            chance = np.exp(joint - total[: len(rows), None, None])
+            pairs += chance.sum(axis=0) if each is None else np.einsum("s,sjk->jk", each[: len(rows)], chance)
     return np.exp(forward + backward - total_of[:, None]), pairs, float(total.sum())
 
 
@@ -89,12 +95,12 @@ def train(features: np.ndarray, labels: np.ndarray, offsets: np.ndarray, n_label
     first = np.zeros(len(labels), dtype=bool)
     first[offsets[:-1]] = True
     truth_pairs = np.zeros((n_labels, n_labels))
-    np.add.at(truth_pairs, (labels[:-1][~first[1:]], labels[1:][~first[1:]]), 1.0)
+    np.add.at(truth_pairs, (labels[:-1][~first[1:]], labels[1:][~first[1:]]), token_share[1:, 0][~first[1:]])
     w, a = np.zeros((features.shape[1], n_labels)), np.zeros((n_labels, n_labels))
     moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(a), np.zeros_like(a)]
     scale = 1.0 / max(1.0, float(token_share.sum()))
     for step in range(1, rounds + 1):
-        marginals, pairs, _ = forward_backward(features @ w, a, chains)
+        marginals, pairs, _ = forward_backward(features @ w, a, chains, share)
         slopes = (features.T @ ((truth - marginals) * token_share) * scale - decay * w, (truth_pairs - pairs) * scale - decay * a)
         for k, (x, g) in enumerate(zip((w, a), slopes, strict=True)):
             m, v = moments[2 * k], moments[2 * k + 1]

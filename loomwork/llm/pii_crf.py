@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .crf import Chains, train, viterbi
+from .shared_folder import spread
+from .textbytes import in_pieces
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", "B-email", "B-ip", "B-card", "I-card", "B-phone", "I-phone")
@@ -321,16 +323,6 @@ def redact(text: str, spans: dict[str, list[Span]]) -> str:
     return "".join([*out, text[done:]])
 
 
-def _batches(batch: pa.RecordBatch, most_chars: int = 8_000_000):
-    texts = [x or "" for x in batch.column("text").to_pylist()]
-    start = chars = 0
-    for i, text in enumerate(texts):
-        chars += len(text)
-        if chars >= most_chars or i + 1 == len(texts):
-            yield batch.slice(start, i + 1 - start), texts[start : i + 1]
-            start, chars = i + 1, 0
-
-
 def _trained(spark):
     return spark.sparkContext.broadcast(PiiModel(labelled_table()))
 
@@ -347,28 +339,33 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in _batches(batch):
-                found = find_all(texts, model.value)
+            for piece in in_pieces(batch):
+                found = find_all([x or "" for x in piece.column("text").to_pylist()], model.value)
                 counts = [pa.array([len(b[kind]) for b, _ in found], pa.int64()) for kind in KINDS]
                 hashes = pa.array([hashlib.sha256(shown(b).encode()).hexdigest() for b, _ in found], pa.string())
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *counts, hashes, pa.array([shown(f) for _, f in found], pa.string())], names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
 
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = spread(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def without_pii(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with their spans of personal data replaced; a null text stays null."""
+    """The rows of ``docs`` with their spans of personal data replaced by their kinds.
+
+    Every row stays, with its own columns; a null text stays null, an empty one
+    empty.  text must be a column of strings.  An empty table stays empty.
+    """
     model = _trained(docs.sparkSession)
     names = docs.columns
     place = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, texts in _batches(batch):
-                clean = [redact(t, f) for t, (_, f) in zip(texts, find_all(texts, model.value), strict=True)]
+            for piece in in_pieces(batch):
+                texts = piece.column("text").to_pylist()
+                found = find_all([x or "" for x in texts], model.value)
                 columns = list(piece.columns)
-                columns[place] = pa.array([None if old is None else new for old, new in zip(piece.column("text").to_pylist(), clean, strict=True)], pa.string())
+                columns[place] = pa.array([None if t is None else redact(t, f) for t, (_, f) in zip(texts, found, strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     fields = [T.StructField("text", T.StringType()) if f.name == "text" else f for f in docs.schema.fields]

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .crf import Chains, forward_backward, train
-from .shared_folder import broadcast_up_to, written
-from .textbytes import flat_bytes, word_bounds, word_hashes
+from .shared_folder import broadcast_up_to, spread, written
+from .textbytes import flat_bytes, in_pieces, word_bounds, word_hashes
 
 #: The classifier is fitted on at most so many labelled documents of each class.
 SAMPLE_PER_CLASS = 800
@@ -141,15 +141,6 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0
 
 
-def _pieces(batch: pa.RecordBatch, most_bytes: int = 2_000_000):
-    lengths = np.diff(flat_bytes(batch.column("text"))[1])
-    cut = np.cumsum(lengths) // most_bytes
-    edges = [0, *(np.flatnonzero(np.diff(cut)) + 1), batch.num_rows]
-    for a, b in zip(edges, edges[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def learn(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_PER_CLASS) -> QualityModel | None:
     """A model from the labelled rows outside the held-out part; None if a class has no row there.
 
@@ -172,7 +163,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_PER_CLA
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in _pieces(batch):
+            for piece in in_pieces(batch):
                 x, length, lines = line_features(piece.column("text"))
                 x = x.astype(np.float32)
                 data = [x[a:b].tobytes() for a, b in zip(lines, lines[1:], strict=False)]
@@ -191,7 +182,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_PER_CLA
 
 def _scored(batches: Iterator[pa.RecordBatch], model: QualityModel | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     for batch in batches:
-        for piece in _pieces(batch):
+        for piece in in_pieces(batch):
             yield piece, model.scores(piece.column("text")) if model else np.full(piece.num_rows, 0.5)
 
 
@@ -209,12 +200,17 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = THR
         for piece, score in _scored(batches, shared.value):
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("held_out"), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32), pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
+    rows = spread(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """The rows of ``docs`` whose score reaches the threshold, with their own columns."""
+    """The rows of ``docs`` whose score reaches the threshold, with their own columns.
+
+    Null and empty texts are one line without words and are judged as such; rows
+    that share a doc_id, or have none, are judged row by row.  If a class has no
+    labelled row, all scores are 0.5 and every row stays.  An empty table stays empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, per_class=per_class))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
