@@ -106,13 +106,13 @@ def _table(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def _in_shards(sized: DataFrame, sources: list[tuple]) -> DataFrame:
-    """Adds the source's row and the shard."""
+    """Adds the source's row and the shard.  m_key parts rows that share a doc_id."""
     table = _table(sized, sources, SOURCE_SCHEMA)
-    return sized.join(table, F.col("source").eqNullSafe(F.col("m_source"))).withColumn("m_shard", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.col("m_shards")).cast("int"))
+    return sized.join(table, F.col("source").eqNullSafe(F.col("m_source"))).withColumn("m_shard", F.pmod(F.xxhash64("doc_id", "m_key", F.lit(SEED)), F.col("m_shards")).cast("int"))
 
 
 def plan(sized: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_PASSES, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> Mix:
-    """The mix of rows (doc_id, source, size)."""
+    """The mix of rows (doc_id, source, size, m_key)."""
     totals = sorted(((r.source, r.words or 0) for r in sized.groupBy("source").agg(F.sum("size").alias("words")).collect()), key=lambda r: (r[0] is None, r[0] or ""))
     want = targets([n for _, n in totals], [weights[k % len(weights)] for k in range(len(totals))], share, most)
     sources = [(name, k, max(1, min(MOST_SHARDS, -(-n // shard_words))), n, t) for k, ((name, n), t) in enumerate(zip(totals, want, strict=True))]
@@ -153,14 +153,14 @@ def _edge(block: Column) -> Column:
 
 
 def placed(sized: DataFrame, mix: Mix) -> DataFrame:
-    """Rows of (doc_id, source, size, ...) with the numbers of their source and shard.
+    """Rows of (doc_id, source, size, m_key, ...) with the numbers of their source and shard.
 
     m_start is the row's first word in its shard; m_extra_words counts the words
     of chosen blocks, besides m_passes whole passes.
     """
     table = _table(sized, mix.shards, SHARD_SCHEMA)
     rows = _in_shards(sized, mix.sources).join(table, ["m_no", "m_shard"], "left")
-    order = Window.partitionBy("m_no", "m_shard").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("m_no", "m_shard").orderBy("doc_id", "size", "m_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("m_end", F.sum("size").over(order)).withColumn("m_start", F.col("m_end") - F.col("size"))
     first = _div(F.col("m_start") * F.col("m_blocks"), F.col("m_words"))
     last = _div((F.col("m_end") - 1) * F.col("m_blocks"), F.col("m_words"))
@@ -173,8 +173,13 @@ def placed(sized: DataFrame, mix: Mix) -> DataFrame:
     return rows.withColumn("m_extra_words", F.when((F.col("size") > 0) & (F.col("m_extra") > 0), some).otherwise(F.lit(0).cast("long")))
 
 
+def _columns(text: Column) -> list[Column]:
+    """doc_id, source, size, and the hash of the text: rows that agree in all of them are equal but for columns that the mix does not read."""
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(text).alias("size"), F.xxhash64(text).alias("m_key")]
+
+
 def _sized(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"))
+    return docs.select(*_columns(F.col("text").cast("string")))
 
 
 def mix_quotas(docs: DataFrame, **options) -> DataFrame:
@@ -193,19 +198,23 @@ def mix_quotas(docs: DataFrame, **options) -> DataFrame:
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs``, once for each whole pass, and once more with the words of their chosen blocks.
 
-    Rows of which nothing is taken go.  A row that is taken in part keeps its
-    words' own white space between them.  n_chars, where it is a column, follows.
+    Rows of which nothing is taken go, null, empty and wordless texts among them.
+    A row that is taken in part keeps its words' own white space between them.
+    n_chars, where it is a column, follows.  A null source is a source; rows that
+    share a doc_id are rows of their own.  Reruns agree.  An empty table stays empty.
     """
     names = docs.columns
-    text = F.col("text").cast("string")
     mix = plan(written(_sized(docs), "sizes"), **options)
-    fixed = docs.select(F.struct(*names).alias("m_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text.alias("m_text"), word_count(text).alias("size"))
-    rows = placed(fixed, mix)
-    words = F.regexp_extract_all("m_text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    # A row's text goes through the shuffle once, in the row.
+    rows = placed(docs.select(F.struct(*names).alias("m_row"), *_columns(F.col("text").cast("string"))), mix)
+    rows = rows.where((F.col("size") > 0) & ((F.col("m_extra_words") > 0) | (F.coalesce("m_passes", F.lit(0)) > 0)))
+    text = F.col("m_row")["text"].cast("string")
+    words = F.regexp_extract_all(text, F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     part = F.array_join(F.filter(words, lambda _, i: _chosen(_div((F.col("m_start") + i) * F.col("m_blocks"), F.col("m_words")))), "")
-    part = F.when(F.col("m_extra_words") == F.col("size"), F.col("m_text")).otherwise(F.regexp_replace(part, r"[\x20\x09-\x0D]+$", ""))
-    whole = F.array_repeat(F.col("m_text"), F.coalesce("m_passes", F.lit(0)).cast("int"))
-    texts = F.when(F.col("m_extra_words") > 0, F.concat(whole, F.array(part))).otherwise(whole)
-    rows = rows.where("size > 0").select("m_row", F.explode(texts).alias("m_text"))
+    part = F.when((F.col("m_extra_words") > 0) & (F.col("m_extra_words") < F.col("size")), F.regexp_replace(part, r"[\x20\x09-\x0D]+$", ""))
+    # Null stands for the whole text, so that passes carry no copies of it.
+    passes = F.array_repeat(F.lit(None).cast("string"), (F.coalesce("m_passes", F.lit(0)) + (F.col("m_extra_words") == F.col("size")).cast("long")).cast("int"))
+    taken = F.when(part.isNotNull(), F.concat(passes, F.array(part))).otherwise(passes)
+    rows = rows.select("m_row", F.explode(taken).alias("m_part")).withColumn("m_text", F.coalesce("m_part", text))
     new = {"text": F.col("m_text"), "n_chars": F.length("m_text").cast("long")}
     return rows.select(*[new[c].alias(c) if c in new else F.col("m_row")[c].alias(c) for c in names])

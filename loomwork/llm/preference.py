@@ -57,7 +57,8 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     empty.  n_common counts the turns in the prompt.  Equal conversations give
     empty completions; a side that a pair_id lacks is an empty conversation.  Rows
     without a pair_id have no pair and go.  Other columns are not read; empty
-    tables give an empty result.
+    tables give an empty result.  A pair is one row and its prompt one text, so a
+    pair's turns meet in one task; no pair waits for another.
     """
     turns = _sides(chosen, rejected).groupBy("pair_id").agg(*[F.array_sort(F.collect_list(F.when(F.col("side") == s, F.col("said")))).alias(s) for s in ("chosen", "rejected")])
     said = lambda c: F.transform(c, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
@@ -80,10 +81,13 @@ def parroting(conversations: DataFrame) -> DataFrame:
     """Rejected counterparts (conv_id, turn, role, text): the last assistant turn repeats what was said right before it.
 
     Conversations without an assistant's turn after another turn stay as they are.
+    Rows without a conv_id are no conversation and go; null roles and texts stay
+    null, and are ordered as preference_pairs() reads them.
     """
-    in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    role, text = F.coalesce(F.col("role").cast("string"), F.lit("unknown")), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    in_order = Window.partitionBy("conv_id").orderBy("turn", role, text)
     place = F.row_number().over(in_order)
-    rows = conversations.select("conv_id", "turn", "role", "text").withColumn("place", place).withColumn("before", F.lag("text").over(in_order))
+    rows = conversations.where("conv_id is not null").select("conv_id", "turn", "role", "text").withColumn("place", place).withColumn("before", F.lag("text").over(in_order))
     last = F.max(F.when((F.col("role") == "assistant") & (F.col("place") > 1), F.col("place"))).over(Window.partitionBy("conv_id"))
     return rows.withColumn("last", last).select("conv_id", "turn", "role", F.when(F.col("place") == F.col("last"), F.col("before")).otherwise(F.col("text")).alias("text"))
 
@@ -93,10 +97,12 @@ def spans_text(spans: Column) -> Column:
 
 
 SQL = """
-WITH c AS (
+WITH n AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
   SELECT conv_id, turn, role, text,
          row_number() OVER w AS place, lag(text) OVER w AS before
-  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+  FROM n WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 ), l AS (
   SELECT *, max(CASE WHEN role = 'assistant' AND place > 1 THEN place END) OVER (PARTITION BY conv_id) AS last FROM c
 ), t AS (
