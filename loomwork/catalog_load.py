@@ -21,7 +21,7 @@ from loomwork.scratch import shared_path
 from loomwork.sources.mysqldump import Dump, read_mysql_dump, rendered
 
 
-def _dump(spark, tables: dict[str, DataFrame], *, crlf: bool = False, escape_breaks: bool = True) -> str:
+def dump_of(spark, tables: dict[str, DataFrame], *, crlf: bool = False, escape_breaks: bool = True) -> str:
     """The path of a dump of the tables."""
     path = shared_path(spark, "dump")
     for name, df in tables.items():
@@ -30,7 +30,7 @@ def _dump(spark, tables: dict[str, DataFrame], *, crlf: bool = False, escape_bre
 
 
 def _read(t: Tables, tables: dict[str, DataFrame], **how) -> Dump:
-    return read_mysql_dump(t.spark, _dump(t.spark, tables, **how))
+    return read_mysql_dump(t.spark, dump_of(t.spark, tables, **how))
 
 
 def _day(column: str) -> Column:
@@ -199,17 +199,20 @@ def _(t: Tables) -> DataFrame:
     return applied.join(names, "technique_id").select("source_pk", "technique", "order_index")
 
 
+def _historia(t: Tables) -> DataFrame:
+    notes = F.when(F.col("o_orderkey") % 4 == 0, "").otherwise(F.concat(F.lit("a<br>"), "o_orderpriority", F.lit("< BR />b")))
+    day = F.when(F.col("o_orderkey") % 10 == 0, "0000-00-00").otherwise(_day("o_orderdate"))
+    return t.orders.select(F.col("o_custkey").alias("idHistoriaClinica"), day.alias("fechaConsulta"), notes.alias("datos"))
+
+
 @query(
     "load_clinical_records",
     """SELECT o_custkey || ':' || CASE WHEN o_orderkey % 10 = 0 THEN '0000-00-00' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS source_pk, o_custkey + 1000 AS patient_id, CASE WHEN o_orderkey % 10 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS visit_date,
  CASE WHEN o_orderkey % 4 <> 0 THEN 'a' || chr(10) || o_orderpriority || chr(10) || 'b' END AS notes, CAST(c_acctbal AS DECIMAL(10,2)) AS visit_fee FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey % 9 <> 0""",
 )
 def _(t: Tables) -> DataFrame:
-    notes = F.when(F.col("o_orderkey") % 4 == 0, "").otherwise(F.concat(F.lit("a<br>"), "o_orderpriority", F.lit("< BR />b")))
-    day = F.when(F.col("o_orderkey") % 10 == 0, "0000-00-00").otherwise(_day("o_orderdate"))
-    source = t.orders.select(F.col("o_custkey").alias("idHistoriaClinica"), day.alias("fechaConsulta"), notes.alias("datos"))
     people = t.customer.where("c_custkey % 9 <> 0").select(_text("c_custkey").alias("legacy_id"), (F.col("c_custkey") + 1000).alias("patient_id"), F.col("c_acctbal").cast("decimal(10,2)").alias("visit_fee"))
-    return T.clinical_records(_read(t, {"historiaclinica": source}).tables["historiaclinica"], people).rows.select("source_pk", "patient_id", _day("visit_date").alias("visit_date"), "notes", "visit_fee")
+    return T.clinical_records(_read(t, {"historiaclinica": _historia(t)}).tables["historiaclinica"], people).rows.select("source_pk", "patient_id", _day("visit_date").alias("visit_date"), "notes", "visit_fee")
 
 
 def _caja(t: Tables) -> DataFrame:
@@ -272,7 +275,7 @@ def _(t: Tables) -> DataFrame:
 # The whole load --------------------------------------------------------------
 
 
-def _person(k: Column, first: bool) -> Column:
+def person(k: Column, first: bool) -> Column:
     """Ten letters for a last name and eight for a first name, unlike those of other keys."""
     return F.translate(F.substring(F.md5(k.cast("string")), 11 if first else 1, 8 if first else 10), "0123456789", "ghijklmnop")
 
@@ -285,22 +288,31 @@ _COUNTS_SQL = """SELECT 'patients' AS name, count(*) AS n FROM customer WHERE c_
  UNION ALL SELECT 'surgery_techniques', count(DISTINCT w) FROM (SELECT upper(split_part(p_name, ' ', 2)) AS w FROM part UNION SELECT upper(split_part(p_name, ' ', 1)) FROM part WHERE p_partkey % 2 = 0)
  UNION ALL SELECT 'surgery_applied_techniques', count(*) FROM (SELECT p_partkey, upper(split_part(p_name, ' ', 2)) AS w FROM part WHERE p_partkey % 3 <> 0 UNION SELECT p_partkey, upper(split_part(p_name, ' ', 1)) FROM part WHERE p_partkey % 2 = 0 AND p_partkey % 3 <> 0)
  UNION ALL SELECT 'cash_entries', count(*) FROM orders WHERE o_orderkey % 9 <> 0 AND o_orderkey % 10 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0
+ UNION ALL SELECT 'clinical_records', count(*) FROM (SELECT DISTINCT o_custkey, strftime(o_orderdate, '%Y-%m-%d') FROM orders WHERE o_orderkey % 10 <> 0 AND o_custkey % 34 <> 0 AND o_custkey IN (SELECT c_custkey FROM customer))
  UNION ALL SELECT 'schedules', count(*) FROM (SELECT DISTINCT s_suppkey % 5 % 3, s_suppkey % 24, s_suppkey % 4 FROM supplier WHERE s_suppkey % 5 <> 4)"""
 
 
-@query("load_counts", _COUNTS_SQL)
-def _(t: Tables) -> DataFrame:
-    """A whole load of a dump of five tables, and what the target holds then."""
-    k = F.col("c_custkey")
-    people = _fichas(t).withColumns({"apellido": F.when(F.col("idFicha") % 17 == 0, " ").otherwise(_person(F.col("idFicha"), False)), "nombre": F.when(F.col("idFicha") % 34 == 0, "").otherwise(_person(F.col("idFicha"), True))})
-    visits = _turnos(t).withColumn("Turno_paciente", _person(F.col("Turno_id"), False)).withColumn("Turno_fecha", F.when(F.col("Turno_id") % 4 == 3, "2024-02-29").otherwise("0000-00-00"))
-    tables = {"fichas": people, "inst_turnos": visits, "cirugias": _cirugias(t), "caja": _caja(t), "inst_horarios": _horarios(t), "inst_motivo": t.customer.where(k < 0).select(k.alias("Motivo_id"), F.lit("").alias("Motivo_texto"), F.lit("").alias("Motivo_estado"))}
+def legacy_tables(t: Tables) -> dict[str, DataFrame]:
+    """Patients, visits, surgeries, cash book and schedules of the old system, made of the star schema."""
+    people = _fichas(t).withColumns({"apellido": F.when(F.col("idFicha") % 17 == 0, " ").otherwise(person(F.col("idFicha"), False)), "nombre": F.when(F.col("idFicha") % 34 == 0, "").otherwise(person(F.col("idFicha"), True))})
+    visits = _turnos(t).withColumn("Turno_paciente", person(F.col("Turno_id"), False)).withColumn("Turno_fecha", F.when(F.col("Turno_id") % 4 == 3, "2024-02-29").otherwise("0000-00-00"))
+    return {"fichas": people, "inst_turnos": visits, "cirugias": _cirugias(t), "caja": _caja(t), "inst_horarios": _horarios(t), "historiaclinica": _historia(t)}
+
+
+def load(t: Tables, tables: dict[str, DataFrame]) -> tuple[TableStore, dict]:
+    """The target that a load of a dump of the tables fills, and its report."""
     target = shared_path(t.spark, "target")
-    done = Pipeline(t.spark, PipelineConfig(dump=_dump(t.spark, tables), target=target, reports=shared_path(t.spark, "reports"))).run()
+    done = Pipeline(t.spark, PipelineConfig(dump=dump_of(t.spark, tables), target=target, reports=shared_path(t.spark, "reports"))).run()
     if not done.success:
         raise RuntimeError(done.error)
-    store = TableStore(t.spark, target)
-    names = ("patients", "appointments", "surgeries", "surgery_diagnoses", "body_parts", "surgery_techniques", "surgery_applied_techniques", "cash_entries", "schedules")
+    return TableStore(t.spark, target), done.report
+
+
+@query("load_counts", _COUNTS_SQL)
+def _(t: Tables) -> DataFrame:
+    """A whole load of a dump of six tables, and what the target holds then."""
+    store, _ = load(t, legacy_tables(t))
+    names = ("patients", "appointments", "surgeries", "surgery_diagnoses", "body_parts", "surgery_techniques", "surgery_applied_techniques", "cash_entries", "schedules", "clinical_records")
     counted = [store.read(name, SCHEMAS[name]).agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name in names]
     out = counted[0]
     for df in counted[1:]:
