@@ -17,12 +17,12 @@ shingle's identity and as its random order.
 3.  Star round: in each list the node with the most common values is the hub,
     and every other member is compared with it.  Links give components.
 4.  Lists that hold one component need nothing more.  Of the others, short lists
-    give their pairs across components.  Long lists never give their pairs.  Let C
-    be the hub's set and whatever else more than ``short`` of its members share.
-    Two members f, y either share a shingle outside C, and then meet in one of the
-    short lists of such shingles; or their common part lies in C, and then they can
-    only link if (|f| + |y|) * 3 / 7 <= min(|f n C|, |y n C|), which a join on
-    sizes finds.  Either way nothing is lost.
+    give their pairs across components.  Long lists never give their pairs: of a
+    hub whose members stand in several components, two members either share a
+    shingle outside the hub's set, and then meet in a list of such shingles; or
+    their common part lies within it, and then they can only link if (|f| + |y|) *
+    3 / 7 <= the common part of each with the hub, which a join on sizes finds.
+    Either way nothing is lost; _members_alike() says how these lists stay short.
 5.  Pairs pass the union-sketch estimate, then exact Jaccard on full sets.  A
     hub's set comes once for each block of its members, which stream past it.
 
@@ -55,7 +55,7 @@ SHORT = 24
 #: The wanted (node, doc_id) rows are broadcast up to so many, and joined by a shuffle beyond.
 BROADCAST_ROWS = 500_000
 #: Members that one task compares with their hub before another task takes more of them.
-MEMBERS = 1_000
+MEMBERS = 250
 #: Nodes of so many edges have their edges joined where they are, not dealt to one task.
 HEAVY = 10_000
 
@@ -222,6 +222,53 @@ def _across(entries: DataFrame, percent: int) -> DataFrame:
     return a.join(b, (a["value"] == b["value"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _sizes_fit(percent)).select("a", "b", "n_a", "n_b").distinct()
 
 
+def _within(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of a hub's members (a, b, n, common, root, apart) in different components whose common part can lie within what ``common`` counts: by a join on sizes."""
+    smaller = members.select("a", F.col("b").alias("y"), F.col("n").alias("n_y"), F.col("common").alias("common_y"), F.col("root").alias("root_y"))
+    least, reach = F.ceil(F.col("n") * percent / 100), F.floor(F.col("common") * (100 + percent) / percent) - F.col("n")
+    opened = members.where("apart").withColumn("n_y", F.explode(F.when(reach >= least, F.sequence(least, reach)).otherwise(F.array().cast("array<bigint>"))))
+    found = opened.join(smaller, ["a", "n_y"]).where(F.col("root") != F.col("root_y")).where(F.col("common_y") * (100 + percent) >= percent * (F.col("n") + F.col("n_y")))
+    first = F.col("b") < F.col("y")
+    return found.select(F.least("b", "y").alias("a"), F.greatest("b", "y").alias("b"), F.when(first, F.col("n")).otherwise(F.col("n_y")).alias("n_a"), F.when(first, F.col("n_y")).otherwise(F.col("n")).alias("n_b"))
+
+
+def _met(listed: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components of the short lists (a, b, value)."""
+    entries = listed.join(members.select("a", "b", "n", "root"), ["a", "b"])
+    return _across(entries.select(F.struct("a", "value").alias("value"), F.col("b").alias("node"), "n", "root"), percent)
+
+
+def _members_alike(long_pairs: DataFrame, percent: int, short: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of members of one hub that may link, in different components.
+
+    Two linked members f and y share 75 % of each.  Put the shingles outside the
+    hub's set C first, in the order of their values: then the first 25 % and one of
+    f and of y have one in common.  If that lies outside C, they meet in its list.
+    If it lies in C, the first part of each holds all that it has outside C, so
+    either they meet there too, or their common part lies in C, and sizes find it.
+    Members that have a long list in their first part are taken again: then all
+    that more than ``short`` of them share joins C, and the rest gives short lists.
+    """
+    # Of two members in different components one at least is apart from the hub's.
+    members = long_pairs.select("a", "b", F.col("n_b").alias("n"), "common", F.col("root_b").alias("root"), (F.col("root_a") != F.col("root_b")).alias("apart"))
+
+    def listed(outside) -> DataFrame:
+        values = long_pairs.select("a", "b", F.explode(outside).alias("value"))
+        shared = values.groupBy("a", "value").agg(F.count("*").alias("members")).where("members > 1")
+        return values.join(shared, ["a", "value"])
+
+    first = written(listed(F.slice("outside", F.lit(1), (F.col("n_b") - F.ceil(F.col("n_b") * percent / 100) + 1).cast("int"))), "first-parts")
+    pairs = _met(first.where(F.col("members") <= short), members, percent).unionByName(_within(members, percent))
+    again = written(first.where(F.col("members") > short).select("a", "b").distinct(), "taken-again")
+    if again.isEmpty():
+        return pairs
+    long_pairs = long_pairs.join(again, ["a", "b"], "left_semi")
+    whole = written(listed(F.col("outside")), "whole-parts")
+    extra = whole.where(F.col("members") > short).groupBy("a", "b").agg(F.count("*").alias("extra"))
+    members = members.join(again, ["a", "b"], "left_semi").join(extra, ["a", "b"], "left").withColumn("common", F.col("common") + F.coalesce("extra", F.lit(0)))
+    return pairs.unionByName(_met(whole.where(F.col("members") <= short), members, percent)).unionByName(_within(members, percent))
+
+
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
@@ -298,34 +345,13 @@ def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, percent: int =
     across = _across(rooted(open_lists, "node", "root"), percent)
 
     # Long lists: shingles outside the hub, and members that sizes leave open.
-    long_pairs = written(rooted(rooted(star_pairs.where("long"), "a", "root_a"), "b", "root_b"), "long_pairs")
-    beyond = long_pairs.select("a", "b", F.explode("outside").alias("value"))
-    beyond_lists = beyond.groupBy("a", "value").agg(F.count("*").alias("members")).where("members > 1")
-    beyond = written(beyond.join(beyond_lists, ["a", "value"]), "beyond")
-    # What many members share besides the hub joins the hub's set: so no list outside it is long.
-    extra = beyond.where(F.col("members") > short).groupBy("a", "b").agg(F.count("*").alias("extra"))
-    by_hub = long_pairs.join(extra, ["a", "b"], "left").select("a", "b", F.col("n_b").alias("n"), (F.col("common") + F.coalesce("extra", F.lit(0))).alias("common"), "root_a", "root_b")
-    met = _across(
-        beyond.where(F.col("members") <= short)
-        .join(long_pairs.select("a", "b", F.col("n_b").alias("n"), F.col("root_b").alias("root")), ["a", "b"])
-        .select(F.struct("a", "value").alias("value"), F.col("b").alias("node"), "n", "root"),
-        percent,
-    )
-
-    smaller = by_hub.select("a", F.col("b").alias("y"), F.col("n").alias("n_y"), F.col("common").alias("common_y"), F.col("root_b").alias("root_y"))
-    reach = F.floor(F.col("common") * (100 + percent) / percent) - F.col("n")
-    opened = (
-        by_hub.where("root_a <> root_b")
-        .withColumn("n_y", F.explode(F.when(reach >= F.ceil(F.col("n") * percent / 100), F.sequence(F.ceil(F.col("n") * percent / 100), reach)).otherwise(F.array().cast("array<bigint>"))))
-    )
-    inside = (
-        opened.join(smaller, ["a", "n_y"])
-        .where(F.col("root_b") != F.col("root_y"))
-        .where(F.col("common_y") * (100 + percent) >= percent * (F.col("n") + F.col("n_y")))
-        .select(F.least("b", "y").alias("a"), F.greatest("b", "y").alias("b"), F.when(F.col("b") < F.col("y"), F.col("n")).otherwise(F.col("n_y")).alias("n_a"), F.when(F.col("b") < F.col("y"), F.col("n_y")).otherwise(F.col("n")).alias("n_b"))
-    )
+    # A hub whose members are one component has nothing more to find.
+    of_long = written(rooted(rooted(star_pairs.where("long"), "a", "root_a"), "b", "root_b"), "long_pairs")
+    several = written(of_long.groupBy("a").agg(F.min("root_b").alias("low"), F.max("root_b").alias("high")).where("low <> high").select("a"), "open-hubs")
+    long_pairs = of_long.join(broadcast_up_to(several, BROADCAST_ROWS), "a", "left_semi")
+    some = _members_alike(long_pairs, percent, short)
 
-    more = across.unionByName(met).unionByName(inside).where(_sizes_fit(percent)).distinct().withColumn("long", F.lit(False))
+    more = across.unionByName(some).where(_sizes_fit(percent)).distinct().withColumn("long", F.lit(False))
     later = verified(written(more, "pairs"), "later_pairs").where("linked").select("a", "b")
     root = written(components(links.unionByName(later), heavy=heavy), "roots")
 

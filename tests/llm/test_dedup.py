@@ -7,13 +7,13 @@ import numpy as np
 import pyarrow as pa
 
 from loomwork.llm import queries
-from loomwork.llm.bottomk_dedup import components, near_duplicates, without_near_duplicates
+from loomwork.llm.bottomk_dedup import _estimated, components, near_duplicates, sure, without_near_duplicates
 from loomwork.llm.textbytes import flat_bytes, word_bounds, word_hashes
 
 from .conftest import SF
 
 
-def brute(rows):
+def brute(rows, percent=75):
     """(n_shingles, component, kept) of rows (doc_id, text) by all pairs that share a shingle."""
     sets = []
     for _, text in rows:
@@ -29,7 +29,7 @@ def brute(rows):
     for a in range(len(rows)):
         for b in range(a):
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 75 * len(sets[a] | sets[b]):
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
                 parent[max(find(a), find(b))] = min(find(a), find(b))
     low = {}
     for k, (doc_id, _) in enumerate(rows):
@@ -71,6 +71,8 @@ def test_large_groups_keep_every_link(spark):
         rows = hot_rows(seed)
         df = spark.createDataFrame(rows, "doc_id long, text string")
         assert found(near_duplicates(df, short=4)) == brute(rows)
+        # Hubs in blocks of few members, and nodes of few edges handled as heavy ones.
+        assert found(near_duplicates(df, short=4, members=7, heavy=5)) == brute(rows)
 
 
 def test_small_sets_with_partners_beyond_the_sketch(spark):
@@ -87,6 +89,41 @@ def test_small_sets_with_partners_beyond_the_sketch(spark):
     assert len({c for _, _, c in got}) == len(rows) // 2
 
 
+def test_sets_at_and_just_above_the_threshold(spark):
+    """Pairs of every size from 49 to 63 with partners of 65 to 84 shingles, some within the other and some not."""
+    pick = random.Random(61)
+    rows = []
+    for n in range(49, 64):
+        for k in range(24):
+            common = n - k % 3
+            larger = next((m for m in range(100 * common // 75 - n + common + 1, n, -1) if 100 * common >= 75 * (n + m - common)), None)
+            if larger is None or not 65 <= larger <= 84:
+                continue
+            words = [f"w{pick.getrandbits(40)}" for _ in range(larger + 4)]
+            tail = [f"x{pick.getrandbits(40)}" for _ in range(n - common)]
+            rows += [(len(rows), " ".join(words[: common + 4] + tail)), (len(rows) + 1, " ".join(words))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found(near_duplicates(df))
+    assert len(rows) > 400 and got == brute(rows) and len({c for _, _, c in got}) == len(rows) // 2
+
+
+def test_what_is_sure():
+    assert sure(64, 75) == 18 and sure(64, 50) < 6 and sure(8, 75) == 0
+    pick = random.Random(62)
+    for k in (5, 20):
+        for _ in range(500):
+            a, b = (np.unique(np.array([pick.randrange(60) for _ in range(pick.randint(1, 40))], np.uint64)) for _ in range(2))
+            union = np.union1d(a[:k], b[:k])
+            want = None if len(union) < k else len(np.intersect1d(np.intersect1d(a[:k], b[:k]), union[:k]))
+            assert _estimated(a[:k], b[:k], k) == want
+
+
+def test_other_thresholds_lose_nothing(spark):
+    rows = hot_rows(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(near_duplicates(df, percent=50, short=4)) == brute(rows, 50)
+
+
 def test_odd_documents(odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     got = near_duplicates(odd_docs)
@@ -98,6 +135,7 @@ def test_odd_documents(odd_docs, no_docs):
 def test_components_of_chains(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (102, 101)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), heavy=2).collect()}
     assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100, 102: 100}
 
 
