@@ -14,7 +14,6 @@ steps in plain Python.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import json
 import unicodedata
@@ -27,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .library_encoder import byte_characters
+from .library_encoder import byte_characters, no_collection
 from .shared_folder import spread
 from .textbytes import in_pieces
 
@@ -63,7 +62,8 @@ class SegmentTreeBPE:
         self._suffix = model.get("end_of_word_suffix") or ""
         vocabulary = model["vocab"]
         self._names = {i: name for name, i in vocabulary.items()}
-        self._added = {x["content"]: x["id"] for x in setup["added_tokens"]}
+        # The library numbers added tokens that the model does not have by itself.
+        self._added = {x["content"]: library.token_to_id(x["content"]) for x in setup["added_tokens"]}
         self._names |= {i: name for name, i in self._added.items()}
         steps = (setup["normalizer"] or {}).get("normalizers", [])
         cuts = (setup["pre_tokenizer"] or {}).get("pretokenizers", [])
@@ -300,14 +300,8 @@ class SegmentTreeBPE:
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """Ids of every text; what no cache has is worked out for all of them together."""
-        # Nothing here refers to itself, and looking for such things among all these tuples takes long.
-        collecting = gc.isenabled()
-        gc.disable()
-        try:
+        with no_collection():
             return self._encode_all(texts)
-        finally:
-            if collecting:
-                gc.enable()
 
     def _encode_all(self, texts: list[str]) -> list[list[int]]:
         parts = [self._parts(x) for x in texts]

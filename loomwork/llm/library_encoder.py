@@ -10,8 +10,11 @@ other tokenizers go to the library whole.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import regex
@@ -43,6 +46,18 @@ def keep(entries: dict, passing: dict, most: int, key, value) -> None:
     passing[key] = value
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Without the search for objects that refer to themselves: encoders make none, and it takes long among so many."""
+    collecting = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if collecting:
+            gc.enable()
+
+
 class LibraryEncoder:
     """Little-endian ids of whole texts, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
 
@@ -109,6 +124,10 @@ class LibraryEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self._by_piece:
             return self._library(texts)
+        with no_collection():
+            return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         return [self._library([x])[0] if any(a in x for a in self._added) else self._text(x) for x in texts]
 
     def _library(self, texts: list[str]) -> list[bytes]:

@@ -1,6 +1,7 @@
 """Operators 1, 7 and 10."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -46,6 +47,47 @@ def test_segment_tree_encodes_and_decodes_as_the_library():
         assert bpe.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_texts_are_encoded_together_as_alone():
+    with open(WORDS, encoding="utf-8") as f:
+        setup = f.read()
+    library, bpe, texts = Tokenizer.from_str(setup), SegmentTreeBPE(setup), strange_texts()
+    # Twice: from the trees, then from the cache.
+    for _ in range(3):
+        assert bpe.encode_all(texts) == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_trees_of_many_words_merge_as_one_tree_does():
+    with open(WORDS, encoding="utf-8") as f:
+        bpe = SegmentTreeBPE(f.read())
+    pick = random.Random(7)
+    words = list({bytes(pick.choice(b"aehinorst") if pick.random() < 0.9 else pick.randrange(256) for _ in range(pick.choice([1, 2, 3, 4, 5, 8, 9, 17, 33, 64, 128, 129, 130, 200]))) for _ in range(3000)})
+    got = bpe._merged_words(words)
+    assert all(got[w] == bpe._word(w) for w in words) and set(got) == set(words)
+
+
+def test_added_tokens_of_any_spelling():
+    with open(WORDS, encoding="utf-8") as f:
+        setup = json.load(f)
+    setup["added_tokens"] += [{"id": len(setup["model"]["vocab"]) + 10 + k, "content": x, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True} for k, x in enumerate(["[SEP]", "@@stop"])]
+    text = json.dumps(setup)
+    library, bpe = Tokenizer.from_str(text), SegmentTreeBPE(text)
+    for x in ("a [SEP] b", "a@@stop[SEP]b c@@sto", "[SEP]", "<|endoftext|>[SEP]x", "plain @ text ["):
+        ids = library.encode(x, add_special_tokens=False).ids
+        assert bpe.encode(x) == ids and bpe.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_a_cache_that_is_full_gives_the_same_ids(monkeypatch):
+    with open(WORDS, encoding="utf-8") as f:
+        setup = f.read()
+    monkeypatch.setattr("loomwork.llm.bpe_segment_tree.PIECES", 20)
+    monkeypatch.setattr("loomwork.llm.bpe_segment_tree.MARKS", 64)
+    library, bpe, texts = Tokenizer.from_str(setup), SegmentTreeBPE(setup), strange_texts()[:300]
+    for _ in range(3):
+        for text in texts:
+            assert bpe.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert len(bpe._pieces) <= 40
+
+
 def test_other_tokenizer_files_are_refused():
     with open(BYTES, encoding="utf-8") as f, pytest.raises(ValueError):
         SegmentTreeBPE(f.read())
@@ -91,6 +133,14 @@ def test_frames_of_odd_documents(spark, odd_docs, no_docs):
     assert token_files(no_docs, BYTES).count() == 0
 
 
+def test_rows_without_an_id_fill_many_files(spark):
+    docs = spark.createDataFrame([(None if k % 2 else 7, f"text {k}") for k in range(4000)], "doc_id long, text string")
+    _, shards = write_token_files(docs, BYTES)
+    assert len(shards) == 4 and max(s.n_docs for s in shards) < 2000
+    rows = token_files(docs, BYTES).orderBy("start").collect()
+    assert len(rows) == 4000 and [r.doc_id for r in rows] == [None] * 2000 + [7] * 2000
+
+
 def test_query_7_against_the_library(spark, texts):
     library = Tokenizer.from_file(BYTES)
     library.encode_special_tokens = True
