@@ -3,7 +3,9 @@
 The tree is fitted on a bounded sample: each node splits its vectors into
 ``branch`` clusters until ``leaf_sample`` or fewer remain.  Every row of the
 table is then put into the leaf that greedy descent finds, so the index holds
-all rows.  A query walks the tree best bin first: a priority queue holds the
+all rows.  Leaves that hold more than ``leaf_rows`` rows are split further, each
+by a tree fitted in a task of its own on a bounded sample of its rows: so leaves
+keep their size as the table grows, and their number grows.  A query walks the tree best bin first: a priority queue holds the
 branches seen so far by their distance, and leaves come out nearest first.  How
 many leaves a query visits is widened until a sample of queries, held against
 all rows, reaches the wanted recall; it goes on while they hold fewer than ``k``
@@ -38,6 +40,11 @@ BRANCH = 16
 LEAF_SAMPLE = 128
 #: Wanted recall on the calibration queries; searches must reach 0.9.
 RECALL = 0.97
+#: Rows of a leaf that is not split further, and rows that its split is fitted on, at most.
+LEAF_ROWS = 2_000
+SPLIT_SAMPLE = 4_096
+#: Centres of the whole tree, which is broadcast: beyond that leaves grow, and are cut into blocks.
+MOST_CENTRES = 100_000
 #: Entries of a leaf, and queries at a leaf, that one task compares at once.
 BLOCK = 4096
 
@@ -88,6 +95,27 @@ class Tree:
                 widths.append(0)
         return cls(np.array(centres), children, widths, leaves)
 
+    def graft(self, splits: dict[int, Tree]) -> Tree:
+        """This tree with some of its leaves replaced by trees; leaves are numbered anew."""
+        centres, children, widths = [self.centres], list(self.children), list(self.widths)
+        size, leaves = len(self.children), 0
+        for node in range(len(self.children)):
+            if self.children[node] >= 0:
+                continue
+            split = splits.get(-1 - self.children[node])
+            if split is None or split.leaves < 2:
+                children[node], leaves = -1 - leaves, leaves + 1
+                continue
+            # The split's root is this node; its other nodes follow those that are there.
+            children[node], widths[node] = size + split.children[0] - 1, split.widths[0]
+            for own, width in zip(split.children[1:], split.widths[1:], strict=True):
+                children.append(size + own - 1 if own >= 0 else -1 - leaves)
+                leaves += own < 0
+                widths.append(width)
+            centres.append(split.centres[1:])
+            size = len(children)
+        return Tree(np.concatenate(centres), children, widths, leaves)
+
     def leaf_of(self, x: np.ndarray) -> np.ndarray:
         """The leaf that descent to the nearest centre ends in, for every row."""
         out = np.zeros(len(x), dtype=np.int64)
@@ -133,12 +161,33 @@ def _score(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding as doubles) of the rows that take part."""
+    """(vec_id, embedding as doubles) of the rows that take part: those with a vec_id whose vector is whole and not zero."""
     x = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     fine = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("embedding", lambda v: v != 0)
-    x = x.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
-    dimension = x.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return x.where(F.size("embedding") == (dimension.d if dimension else -1))
+    return x.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
+
+
+def _splits(index: DataFrame, held: np.ndarray, leaf_rows: int, split_sample: int, room: int) -> dict[int, Tree]:
+    """Trees for the leaves of ``index`` (leaf, entry, embedding) that hold too many rows; a leaf is one task's work."""
+    large = np.flatnonzero(held > leaf_rows)
+    parts = -(-held // leaf_rows)
+    # So many parts that all centres find room.
+    scale = min(1.0, room / max(1, int(parts[large].sum()) * 2))
+    wanted = {int(leaf): max(1, int(parts[leaf] * scale)) for leaf in large}
+    if not any(n > 1 for n in wanted.values()):
+        return {}
+    place = F.row_number().over(Window.partitionBy("leaf").orderBy(F.xxhash64("entry", F.lit(3)), "entry"))
+    some = index.where(F.col("leaf").isin([k for k, n in wanted.items() if n > 1])).select("leaf", "entry", "embedding").withColumn("place", place).where(F.col("place") <= split_sample)
+
+    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        x = unit(_vectors(rows.sort_values("place")["embedding"].tolist()))
+        tree = Tree.fit(x, leaf_sample=max(4, len(x) // wanted[int(key[0])]))
+        return pd.DataFrame([{"leaf": key[0], "centres": tree.centres.astype("<f8").tobytes(), "children": tree.children, "widths": tree.widths, "leaves": tree.leaves}])
+
+    out = {}
+    for r in some.groupBy("leaf").applyInPandas(fit, "leaf long, centres binary, children array<int>, widths array<int>, leaves long").collect():
+        out[r.leaf] = Tree(np.frombuffer(r.centres, "<f8").reshape(len(r.children), -1), list(r.children), list(r.widths), r.leaves)
+    return out
 
 
 def _best(scores: np.ndarray, k: int) -> np.ndarray:
@@ -155,17 +204,30 @@ def _own(names: np.ndarray, ids: list[list[int]]) -> np.ndarray:
     return (names[:, None] == first) & (names[:, None] == last)
 
 
-def nearest(vectors: DataFrame, *, k: int = K, every: int = QUERY_EVERY, sample: int = SAMPLE, calibration: int = CALIBRATION, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+RESULT = "query_id long, rank int, vec_id long, score double"
+
+
+def nearest(vectors: DataFrame, *, every: int = QUERY_EVERY, **options) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row whose vec_id divides by ``every``.
 
     Rows (vec_id, embedding) that are null, zero, or hold null or non-finite
-    components take no part, nor do those of another length than most.  Rows that
-    share a vec_id are candidates each, but never of their own vec_id.  Ties go to
-    the smaller vec_id.  An empty table gives an empty result; other columns are
-    not read.
+    components take no part.  Vectors of one length are searched among themselves:
+    others have no cosine with them.  Rows that share a vec_id are candidates each,
+    but never of their own vec_id.  Ties go to the smaller vec_id.  An empty table
+    gives an empty result; other columns are not read.
     """
-    spark = vectors.sparkSession
     rows = written(usable(vectors), "vectors")
+    lengths = sorted(r.d for r in rows.select(F.size("embedding").alias("d")).distinct().collect())
+    out = vectors.sparkSession.createDataFrame([], RESULT)
+    for d in lengths:
+        found = _nearest(rows.where(F.size("embedding") == d) if len(lengths) > 1 else rows, every=every, **options)
+        out = found if len(lengths) == 1 else out.unionByName(found)
+    return out
+
+
+def _nearest(rows: DataFrame, *, every: int, k: int = K, sample: int = SAMPLE, calibration: int = CALIBRATION, recall: float = RECALL, block: int = BLOCK, leaf_rows: int = LEAF_ROWS, split_sample: int = SPLIT_SAMPLE, most_centres: int = MOST_CENTRES) -> DataFrame:
+    """nearest() of vectors of one length."""
+    spark = rows.sparkSession
     # Equal vectors: the smallest k + 1 distinct ids (a row each, with its count), limited before the shuffle.
     by_vector = Window.partitionBy("embedding").orderBy("vec_id")
     each = rows.groupBy("embedding", "vec_id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n"))
@@ -176,21 +238,34 @@ def nearest(vectors: DataFrame, *, k: int = K, every: int = QUERY_EVERY, sample:
 
     some = entries.orderBy(F.xxhash64("entry", F.lit(2)), "entry").limit(sample).select("embedding").toPandas()
     if some.empty:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    tree = Tree.fit(unit(_vectors(some["embedding"].tolist())))
-    shared = spark.sparkContext.broadcast(tree)
+        return spark.createDataFrame([], RESULT)
 
-    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            leaf = shared.value.leaf_of(unit(_vectors(batch.column("embedding").to_pylist()))) if batch.num_rows else []
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int64())], names=[*batch.schema.names, "leaf"])
+    def indexed(tree: Tree) -> tuple[DataFrame, np.ndarray]:
+        """All entries with their leaf, and the entries of each leaf."""
+        shared = spark.sparkContext.broadcast(tree)
 
-    index = written(entries.mapInArrow(put, "entry long, ids array<long>, embedding array<double>, leaf long"), "index")
+        def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                leaf = shared.value.leaf_of(unit(_vectors(batch.column("embedding").to_pylist()))) if batch.num_rows else []
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int64())], names=[*batch.schema.names, "leaf"])
+
+        index = written(entries.mapInArrow(put, "entry long, ids array<long>, embedding array<double>, leaf long"), "index")
+        held = np.zeros(tree.leaves, dtype=np.int64)
+        for leaf, n in index.groupBy("leaf").count().collect():
+            held[leaf] = n
+        return index, held
+
+    tree = Tree.fit(unit(_vectors(some["embedding"].tolist())))
+    index, held = indexed(tree)
+    if splits := _splits(index, held, leaf_rows, split_sample, most_centres - len(tree.children)):
+        tree = tree.graft(splits)
+        index, held = indexed(tree)
+    shared = spark.sparkContext.broadcast(tree)
 
     # Calibration: exact neighbours of some queries among all entries, and the leaves they are in.
     trial = asked.orderBy(F.xxhash64("query_id", F.lit(5)), "query_id").limit(calibration).toPandas()
     if trial.empty:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], RESULT)
     tried = spark.sparkContext.broadcast((trial["query_id"].to_numpy(), _vectors(trial["embedding"].tolist())))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
