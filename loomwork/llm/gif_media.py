@@ -18,6 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared_folder import spread
+from .textbytes import in_pieces
+
 # Fixed values of the format.
 MOST_CODES = 4096
 KEEP, BACKGROUND, PREVIOUS = 1, 2, 3
@@ -29,8 +32,12 @@ WIDTH, ROWS, DELAY = 192, 64, 4
 PALETTE = np.stack([np.arange(256), np.arange(256) * 5 % 256, np.arange(256) * 11 % 256], axis=1).astype(np.uint8)
 
 
+#: Samples of a frame, and pixels of the part of the screen that a file draws on, at most: a few bytes can ask for billions.
+MOST_PIXELS = 1 << 26
+
+
 class GifError(ValueError):
-    """Bytes that are no whole GIF."""
+    """Bytes that are no whole GIF, or one that asks for more than MOST_PIXELS."""
 
 
 def _widths(least: int, n: int) -> np.ndarray:
@@ -181,12 +188,26 @@ class Gif:
     height: int
     frames: list[Frame]
 
+    def bounds(self) -> tuple[int, int, int, int]:
+        """Left, top, right and bottom of the part of the screen that any frame draws on."""
+        boxes = [(f.left, f.top, min(f.left + f.indices.shape[1], self.width), min(f.top + f.indices.shape[0], self.height)) for f in self.frames]
+        boxes = [b for b in boxes if b[0] < b[2] and b[1] < b[3]]
+        if not boxes:
+            return 0, 0, 0, 0
+        lefts, tops, rights, bottoms = zip(*boxes, strict=True)
+        return min(lefts), min(tops), max(rights), max(bottoms)
+
     def canvases(self) -> Iterator[np.ndarray]:
-        """What is shown at each frame: rows x columns x RGBA, alpha 0 where nothing was drawn.  The next step changes it."""
-        canvas = np.zeros((self.height, self.width, 4), dtype=np.uint8)
+        """What is shown within bounds() at each frame: rows x columns x RGBA, alpha 0 where nothing was drawn.  The next step changes it."""
+        left, top, right, bottom = self.bounds()
+        if (right - left) * (bottom - top) > MOST_PIXELS:
+            raise GifError("a canvas of too many pixels")
+        canvas = np.zeros((bottom - top, right - left, 4), dtype=np.uint8)
         for frame in self.frames:
             rows, columns = frame.indices.shape
-            part = canvas[frame.top : frame.top + rows, frame.left : frame.left + columns]
+            y, x = max(frame.top - top, 0), max(frame.left - left, 0)
+            inside = frame.left < self.width and frame.top < self.height
+            part = canvas[y : y + rows * inside, x : x + columns * inside]
             indices = frame.indices[: part.shape[0], : part.shape[1]]
             saved = part.copy() if frame.disposal == PREVIOUS else None
             if frame.transparent is None:
@@ -249,6 +270,8 @@ def _decode(data: bytes) -> Gif:
         elif kind == 0x2C:
             left, top, columns, rows, flags = struct.unpack_from("<HHHHB", data, at + 1)
             at += 10
+            if columns * rows > MOST_PIXELS:
+                raise GifError("a frame of too many samples")
             palette = colours(flags) if flags & 0x80 else shared
             least = data[at]
             if not 2 <= least <= 8:
@@ -301,40 +324,55 @@ def payload_of(text: str) -> bytes:
     return data + b" " * (-len(data) % WIDTH or WIDTH * (not data))
 
 
-def gif_of(payload: bytes) -> bytes:
-    """A payload as frames of up to ROWS rows; each frame replaces the one before it."""
+def _changes(frame: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, int | None]:
+    """A frame with what is as before made transparent, and the colour that says so: the first that the frame has not; None if it has all."""
+    free = np.flatnonzero(np.bincount(frame.ravel(), minlength=256) == 0)
+    if not len(free):
+        return frame, None
+    return np.where(frame == before[: len(frame)], np.uint8(free[0]), frame), int(free[0])
+
+
+def gif_of(payload: bytes, *, delta: bool = False) -> bytes:
+    """A payload as frames of up to ROWS rows; each frame replaces the one before it.
+
+    With delta a frame stays, and the next one draws only what changes.
+    """
     rows = np.frombuffer(payload, dtype=np.uint8).reshape(-1, WIDTH)
-    frames = [Frame(0, 0, rows[k : k + ROWS], PALETTE, None, BACKGROUND, DELAY) for k in range(0, len(rows), ROWS)]
+    parts = [rows[k : k + ROWS] for k in range(0, len(rows), ROWS)]
+    frames = [Frame(0, 0, part, PALETTE, None, KEEP if delta else BACKGROUND, DELAY) for part in parts]
+    if delta:
+        for frame, part, before in zip(frames[1:], parts[1:], parts, strict=False):
+            frame.indices, frame.transparent = _changes(part, before)
     return encode_gif(frames, WIDTH, min(ROWS, len(rows)))
 
 
 def described(data: bytes) -> tuple[bytes, str]:
-    """Payload read back from a GIF, by its colours, and its feature: frames, hundredths of a second, colours and their pixels."""
+    """Payload read back from a GIF, by the colours it shows, and its feature: frames, hundredths of a second, colours and their pixels."""
     gif = decode_gif(data)
-    payload = b"".join(f.palette[:, 0][f.indices].tobytes() for f in gif.frames)
-    total = np.zeros(64, dtype=np.int64)
-    for canvas in gif.canvases():
+    payload, total = [], np.zeros(64, dtype=np.int64)
+    for frame, canvas in zip(gif.frames, gif.canvases(), strict=True):
+        payload.append(canvas[: len(frame.indices), :, 0].tobytes())
         total += histogram(canvas)
     colours = " ".join(f"{k}={total[k]}" for k in np.flatnonzero(total))
-    return payload, f"{len(gif.frames)} frames, {sum(f.delay for f in gif.frames)} cs, {colours}"
+    return b"".join(payload), f"{len(gif.frames)} frames, {sum(f.delay for f in gif.frames)} cs, {colours}"
 
 
 MEDIA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def text_media(docs: DataFrame, *, with_media: bool = False) -> DataFrame:
-    """Texts stored as GIFs and read back; with_media adds the GIF itself as media.
+def text_media(docs: DataFrame, *, with_media: bool = False, delta: bool = False) -> DataFrame:
+    """Texts stored as GIFs and read back; with_media adds the GIF itself as media, delta stores changes between frames.
 
     A null text counts as empty, which is one row of 192 blanks.  Rows keep their
     doc_id, null or repeated; other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in in_pieces(whole)):
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             rows, size = [], 0
             for i, text in zip(ids, texts, strict=True):
-                stored = gif_of(payload_of(text or ""))
+                stored = gif_of(payload_of(text or ""), delta=delta)
                 payload, feature = described(stored)
                 row = (i, len((text or "").encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), feature)
                 rows.append((*row, stored) if with_media else row)
@@ -352,7 +390,7 @@ def text_media(docs: DataFrame, *, with_media: bool = False) -> DataFrame:
         columns = list(zip(*rows, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names=names[: len(columns)])
 
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = spread(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(run, MEDIA + ", media binary" * with_media)
 
 
@@ -362,8 +400,10 @@ FRAMES = "doc_id long, frame int, start_ms long, duration_ms long, left int, top
 def timed_frames(media: DataFrame) -> DataFrame:
     """A row for each frame of the GIFs in ``media`` (doc_id, media): when it shows, where it draws, and the colours then on the canvas.
 
-    A null or empty GIF gives no row.  Bytes that are no whole GIF give one row
-    with the reason in error and nothing else but the doc_id.
+    A null or empty GIF gives no row, and neither does one without a frame.  Bytes
+    that are no whole GIF, or ask for more than MOST_PIXELS, give one row with the
+    reason in error and nothing else but the doc_id.  Rows keep their doc_id, null
+    or repeated; an empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +43,14 @@ def op4_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_media(_table(spark, sf_dir, "documents"))
 
 
+def gif_timed_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frames of operator 4's GIFs, each drawing what has changed, with their times and colour histograms."""
+    from .gif_media import text_media, timed_frames
+
+    frames = timed_frames(text_media(_table(spark, sf_dir, "documents"), with_media=True, delta=True))
+    return frames.withColumn("histogram", F.array_join(frames["histogram"].cast("array<string>"), " "))
+
+
 def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .preference import parroting, preference_pairs, spans_text
 
@@ -92,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sainte_lague_mix": op8_sainte_lague_mix,
         "op9_pii_crf": op9_pii_crf,
         "op10_bpe_segment_tree": op10_bpe_segment_tree,
+        "gif_timed_frames": gif_timed_frames,
     }
 
 

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomwork.llm import queries
-from loomwork.llm.gif_media import BACKGROUND, KEEP, PALETTE, PREVIOUS, Frame, GifError, decode_gif, encode_gif, histogram, lzw_decode, lzw_encode, text_media, timed_frames
+from loomwork.llm.gif_media import BACKGROUND, KEEP, PALETTE, PREVIOUS, Frame, GifError, decode_gif, encode_gif, gif_of, histogram, lzw_decode, lzw_encode, payload_of, text_media, timed_frames
 from loomwork.llm.kmeans_tree import RECALL, Tree, nearest, unit
 from loomwork.llm.mixing import mix_documents, mix_quotas, sainte_lague, targets
 from loomwork.llm.preference import parroting, preference_pairs
@@ -100,6 +100,35 @@ def test_tree_visits_every_leaf_once_and_descends_to_the_nearest():
     assert [tree.nearest_leaves(q, 1)[0] for q in x[:50]] == tree.leaf_of(x[:50]).tolist()
 
 
+def test_leaves_keep_their_size_as_the_table_grows(spark):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([c + 0.4 * rng.normal(size=(300, 12)) for c in rng.normal(size=(8, 12))])
+    splits = {leaf: Tree.fit(unit(x[:200]), branch=3, leaf_sample=20) for leaf in (0, 2)}
+    small = Tree.fit(unit(x), branch=4, leaf_sample=700)
+    grown = small.graft(splits)
+    assert grown.leaves == small.leaves - 2 + 2 * splits[0].leaves
+    for q in unit(x[:20]):
+        assert sorted(grown.nearest_leaves(q, grown.leaves)) == list(range(grown.leaves))
+    assert set(grown.leaf_of(unit(x)).tolist()) <= set(range(grown.leaves))
+    rows = list(enumerate(x))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    for options in ({"leaf_rows": 30, "sample": 200, "split_sample": 100}, {"leaf_rows": 30, "sample": 200, "most_centres": 20}):
+        want, got = exact(rows), {}
+        for r in nearest(df, recall=0.97, **options).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        assert np.mean([len(set(got[q]) & set(want[q])) / 5 for q in want]) >= 0.9
+
+
+def test_vectors_of_two_lengths_are_searched_among_themselves(spark):
+    rng = np.random.default_rng(6)
+    long, short = [(k, rng.normal(size=8)) for k in range(120)], [(1000 + k, rng.normal(size=3)) for k in range(60)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in long + short], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(df, recall=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == exact(long) | exact(short)
+
+
 # Media -------------------------------------------------------------------------
 
 
@@ -205,6 +234,52 @@ def test_media_of_odd_documents(spark, odd_docs, no_docs):
     assert text_media(no_docs).count() == 0
 
 
+def test_screens_and_frames_beyond_bounds():
+    huge = bytearray(encode_gif([Frame(9, 4, np.full((2, 3), 7, np.uint8), PALETTE, None, KEEP, 1)], 20, 20))
+    huge[6:10] = b"\xff\xff\xff\xff"
+    (canvas,) = decode_gif(bytes(huge)).canvases()
+    assert canvas.shape == (2, 3, 4) and histogram(canvas).sum() == 6
+    at = huge.index(0x2C, 13 + 768)
+    huge[at + 5 : at + 9] = b"\xff\xff\xff\xff"
+    with pytest.raises(GifError, match="too many samples"):
+        decode_gif(bytes(huge))
+    far = [Frame(x, x, np.zeros((1, 1), np.uint8), PALETTE, None, KEEP, 1) for x in (0, 60_000)]
+    with pytest.raises(GifError, match="too many pixels"):
+        list(decode_gif(encode_gif(far, 65_535, 65_535)).canvases())
+    outside = decode_gif(encode_gif([Frame(50, 50, np.zeros((2, 2), np.uint8), PALETTE, None, KEEP, 1)], 20, 20))
+    assert [c.size for c in outside.canvases()] == [0]
+
+
+def test_timed_frames_of_changes_show_the_payload(spark):
+    got = queries.gif_timed_frames(spark, SF).collect()
+    whole = {r.doc_id: r for r in queries.op4_gif_media(spark, SF).collect()}
+    delta = {r.doc_id: r for r in text_media(spark.read.parquet(f"{SF}/documents.parquet"), with_media=True, delta=True).collect()}
+    assert {i: r.payload_sha256 for i, r in whole.items()} == {i: r.payload_sha256 for i, r in delta.items()}
+    by_doc = {}
+    for r in sorted(got, key=lambda r: (r.doc_id, r.frame)):
+        by_doc.setdefault(r.doc_id, []).append(r)
+    assert set(by_doc) == set(whole) and not any(r.error for r in got)
+    for i, frames in by_doc.items():
+        payload = np.concatenate([f.colours()[:, :, 0] for f in decode_gif(gif_of(payload_of(texts_of(spark)[i]))).frames])
+        shown = np.zeros((min(64, len(payload)), 192), np.uint8)
+        for k, r in enumerate(frames):
+            part = payload[64 * k : 64 * k + 64]
+            shown[: len(part)] = part
+            colours = PALETTE[shown].astype(int) >> 6
+            want = np.bincount((colours[:, :, 0] * 16 + colours[:, :, 1] * 4 + colours[:, :, 2]).ravel(), minlength=64)
+            assert (r.frame, r.start_ms, r.duration_ms, r.disposal) == (k, 40 * k, 40, KEEP) and r.histogram == " ".join(map(str, want))
+    assert any(r.transparent is not None for r in got)
+
+
+_texts = {}
+
+
+def texts_of(spark):
+    if not _texts:
+        _texts.update({r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()})
+    return _texts
+
+
 # Preference pairs ----------------------------------------------------------------
 
 
@@ -215,6 +290,15 @@ def test_query_5_against_its_sql(spark):
     assert got == {tuple(map(str, r)) for r in db.execute(queries.oracle_sql()["op5_preference_pairs"]).fetchall()}
 
 
+def test_query_5_and_its_sql_agree_on_nulls(spark, tmp_path):
+    rows = [(1, 0, "user", None), (1, 1, "assistant", "a"), (2, 0, None, "q"), (2, 1, "assistant", None), (2, None, "user", "first"), (3, 0, "user", "x"), (3, 0, "user", "x"), (None, 0, "user", "z"), (None, 1, "assistant", "y"), (4, 0, "assistant", ""), (4, 1, "assistant", "b")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("place", F.lit(1)).coalesce(1).write.parquet(f"file://{tmp_path}/conversations.parquet")
+    got = sorted(tuple(map(str, r)) for r in queries.op5_preference_pairs(spark, f"file://{tmp_path}").collect())
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert got == sorted(tuple(map(str, r)) for r in db.execute(queries.oracle_sql()["op5_preference_pairs"]).fetchall()) and len(got) == 4
+
+
 def test_pairs_and_their_spans(spark):
     shape = "pair_id long, turn long, role string, text string"
     chosen = [(1, 0, "user", "q"), (1, 1, "assistant", "yes"), (1, 2, "user", "more"), (2, 0, "user", "a"), (3, 0, None, None), (4, 1, "user", "x"), (4, 1, "user", "x"), (None, 0, "user", "z")]
@@ -288,6 +372,16 @@ def test_mix_of_odd_documents(odd_docs, no_docs):
     assert mix_quotas(no_docs).count() == mix_documents(no_docs).count() == 0
 
 
+def test_a_mix_comes_again_as_it_was(spark):
+    # Rows that share doc_id and size, in two orders and partitionings.
+    rows = [(k % 3 if k % 5 else None, "ab"[k % 2], " ".join([f"w{k}"] * (5 + k % 2))) for k in range(300)]
+    mixes = []
+    for some, parts in ((rows, 1), (rows[::-1], 7)):
+        docs = spark.createDataFrame(some, "doc_id long, source string, text string").repartition(parts)
+        mixes.append(sorted(str(r) for r in mix_documents(docs, shard_words=100, block_words=3).collect()))
+    assert mixes[0] == mixes[1]
+
+
 def test_many_shards(spark):
     pick = random.Random(8)
     docs = spark.createDataFrame([(k, pick.choice("aab"), " ".join(["w"] * pick.randint(0, 50))) for k in range(600)], "doc_id long, source string, text string")
