@@ -19,6 +19,7 @@ from loomwork.plans.store import TableStore
 from loomwork.registry import Tables, query
 from loomwork.scratch import shared_path
 from loomwork.sources.mysqldump import Dump, read_mysql_dump, rendered
+from loomwork.streaming.incremental import load_stream
 
 
 def dump_of(spark, tables: dict[str, DataFrame], *, crlf: bool = False, escape_breaks: bool = True) -> str:
@@ -318,3 +319,15 @@ def _(t: Tables) -> DataFrame:
     for df in counted[1:]:
         out = out.unionByName(df)
     return out
+
+
+@query("stream_loads_once", "SELECT p_name || ' ' || p_partkey AS name, CAST(1 AS BIGINT) AS n, CAST((SELECT count(*) FROM part) AS BIGINT) AS last_id FROM part")
+def _(t: Tables) -> DataFrame:
+    """Two thirds of the parts arrive, then two thirds again, of which one has come before."""
+    source, state, store = shared_path(t.spark, "arrivals"), shared_path(t.spark, "state"), TableStore(t.spark, shared_path(t.spark, "target"))
+    rows = t.part.select(_text("p_partkey").alias("source_pk"), F.sha2("p_name", 256).alias("payload_hash"), F.concat_ws(" ", "p_name", _text("p_partkey")).alias("name"))
+    for left_out in (2, 0):
+        rows.where(F.col("source_pk").cast("long") % 3 != left_out).write.mode("append").parquet(source)
+        load_stream(t.spark.readStream.schema(rows.schema).parquet(source), store, "part", "names", "id long, name string", state).awaitTermination()
+    found = store.read("names", "id long, name string")
+    return found.groupBy("name").agg(F.count("*").alias("n")).join(F.broadcast(found.agg(F.max("id").alias("last_id"))))
