@@ -1,6 +1,6 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal blocks.
 
-The words of a source, in doc_id order within each shard, are cut into blocks of
+The words of a source, in doc_id order within each part of a shard, are cut into blocks of
 equal size.  Sources get blocks by highest quotients weight / (2 s + 1), where s
 is what they have already; then each source's shards get theirs in the same way.
 So every shard has an integer quota.  A quota of q from n blocks means q // n
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared_folder import written
+from .shared_folder import broadcast_up_to, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in code point order, repeating; null comes last.
@@ -29,7 +29,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST_PASSES = 2
 BLOCK_WORDS = 32
-#: Words of a shard, and shards of a source at most: beyond that shards grow.
+#: Words of a shard, and shards of a source at most: beyond that shards grow, and are placed in parts of so many words.
 SHARD_WORDS = 1 << 20
 MOST_SHARDS = 4096
 BROADCAST_ROWS = 100_000
@@ -85,17 +85,19 @@ def sainte_lague(weights: list[float], seats: int, limits: list[int]) -> list[in
 
 @dataclass
 class Mix:
-    """(source, source_no, n_shards, source_size, target) rows, and (source_no, shard, words, blocks, passes, extra, step, shift) rows."""
+    """(source, source_no, n_shards, n_parts, source_size, target) rows, (source_no, shard, words, blocks, passes, extra, step, shift) rows,
+    and, where shards have several parts, the table of the words before each part."""
 
     sources: list[tuple]
     shards: list[tuple]
+    before: DataFrame | None = None
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-SOURCE_SCHEMA = "m_source string, m_no int, m_shards int, source_size long, target double"
+SOURCE_SCHEMA = "m_source string, m_no int, m_shards int, m_parts int, source_size long, target double"
 SHARD_SCHEMA = "m_no int, m_shard int, m_words long, m_blocks long, m_passes long, m_extra long, m_step long, m_shift long"
 
 
@@ -106,18 +108,27 @@ def _table(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def _in_shards(sized: DataFrame, sources: list[tuple]) -> DataFrame:
-    """Adds the source's row and the shard.  m_key parts rows that share a doc_id."""
+    """Adds the source's row, the shard and the part of it.  m_key tells rows apart that share a doc_id."""
     table = _table(sized, sources, SOURCE_SCHEMA)
-    return sized.join(table, F.col("source").eqNullSafe(F.col("m_source"))).withColumn("m_shard", F.pmod(F.xxhash64("doc_id", "m_key", F.lit(SEED)), F.col("m_shards")).cast("int"))
+    dealt = lambda salt, n: F.pmod(F.xxhash64("doc_id", "m_key", F.lit(salt)), F.col(n)).cast("int")
+    return sized.join(table, F.col("source").eqNullSafe(F.col("m_source"))).withColumns({"m_shard": dealt(SEED, "m_shards"), "m_part": dealt(SEED + 1, "m_parts")})
 
 
-def plan(sized: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_PASSES, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> Mix:
+def plan(sized: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_PASSES, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, most_shards: int = MOST_SHARDS, seed: int = SEED) -> Mix:
     """The mix of rows (doc_id, source, size, m_key)."""
     totals = sorted(((r.source, r.words or 0) for r in sized.groupBy("source").agg(F.sum("size").alias("words")).collect()), key=lambda r: (r[0] is None, r[0] or ""))
     want = targets([n for _, n in totals], [weights[k % len(weights)] for k in range(len(totals))], share, most)
-    sources = [(name, k, max(1, min(MOST_SHARDS, -(-n // shard_words))), n, t) for k, ((name, n), t) in enumerate(zip(totals, want, strict=True))]
+    sources = []
+    for k, ((name, n), t) in enumerate(zip(totals, want, strict=True)):
+        n_shards = max(1, min(most_shards, -(-n // shard_words)))
+        sources.append((name, k, n_shards, max(1, -(-n // (n_shards * shard_words))), n, t))
     if not sources:
         return Mix([], [])
+    before = None
+    if max(s[3] for s in sources) > 1:
+        earlier = Window.partitionBy("m_no", "m_shard").orderBy("m_part").rowsBetween(Window.unboundedPreceding, -1)
+        sums = _in_shards(sized, sources).groupBy("m_no", "m_shard", "m_part").agg(F.sum("size").alias("words"))
+        before = written(sums.select("m_no", "m_shard", "m_part", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("m_before")), "parts")
     words: dict[int, dict[int, int]] = {}
     for r in _in_shards(sized, sources).groupBy("m_no", "m_shard").agg(F.sum("size").alias("words")).where("words > 0").collect():
         words.setdefault(r.m_no, {})[r.m_shard] = r.words
@@ -135,7 +146,7 @@ def plan(sized: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float
             pick = random.Random(f"{seed}:{no}:{s}")
             step = next(x for x in iter(lambda: pick.randrange(1, n + 1), None) if math.gcd(x, n) == 1)
             shards.append((no, s, words[no][s], n, q // n, q % n, step % n if n > 1 else 0, pick.randrange(n)))
-    return Mix(sources, shards)
+    return Mix(sources, shards, before)
 
 
 def _chosen(block: Column) -> Column:
@@ -160,8 +171,11 @@ def placed(sized: DataFrame, mix: Mix) -> DataFrame:
     """
     table = _table(sized, mix.shards, SHARD_SCHEMA)
     rows = _in_shards(sized, mix.sources).join(table, ["m_no", "m_shard"], "left")
-    order = Window.partitionBy("m_no", "m_shard").orderBy("doc_id", "size", "m_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("m_end", F.sum("size").over(order)).withColumn("m_start", F.col("m_end") - F.col("size"))
+    order = Window.partitionBy("m_no", "m_shard", "m_part").orderBy("doc_id", "size", "m_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("m_end", F.sum("size").over(order))
+    if mix.before is not None:
+        rows = rows.join(broadcast_up_to(mix.before, BROADCAST_ROWS), ["m_no", "m_shard", "m_part"]).withColumn("m_end", F.col("m_end") + F.col("m_before"))
+    rows = rows.withColumn("m_start", F.col("m_end") - F.col("size"))
     first = _div(F.col("m_start") * F.col("m_blocks"), F.col("m_words"))
     last = _div((F.col("m_end") - 1) * F.col("m_blocks"), F.col("m_words"))
 

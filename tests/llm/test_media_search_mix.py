@@ -385,7 +385,11 @@ def test_a_mix_comes_again_as_it_was(spark):
 def test_many_shards(spark):
     pick = random.Random(8)
     docs = spark.createDataFrame([(k, pick.choice("aab"), " ".join(["w"] * pick.randint(0, 50))) for k in range(600)], "doc_id long, source string, text string")
-    rows = mix_quotas(docs, shard_words=700, block_words=8).collect()
-    for t in {r.target for r in rows}:
-        own = [r for r in rows if r.target == t]
-        assert abs(sum(r.taken for r in own) - t) <= 0.02 * t + 16
+    for options in ({"shard_words": 700}, {"shard_words": 300, "most_shards": 3}):
+        rows = mix_quotas(docs, block_words=8, **options).collect()
+        assert len(rows) == 600 and all(0 <= r.taken <= 2 * r.size for r in rows)
+        for t in {r.target for r in rows}:
+            own = [r for r in rows if r.target == t]
+            assert abs(sum(r.taken for r in own) - t) <= 0.02 * t + 16
+        words = sum(len(r.text.split()) for r in mix_documents(docs, block_words=8, **options).collect())
+        assert words == sum(r.taken for r in rows)
