@@ -2,6 +2,11 @@
 
 Each stage takes the documents that the stage before it kept and returns
 documents; the last returns what the encoder makes of them.
+
+In every stage rows are judged row by row: rows that share a doc_id, or have
+none, stay rows of their own; an empty table gives an empty one; columns besides
+doc_id, text, source and n_chars are carried along and never read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -21,27 +26,48 @@ from loomwork.llm.shared_folder import written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line classifier accepts."""
+    """Documents that the line classifier accepts.
+
+    Null and empty texts are one line without words and are judged as such.  Where
+    no labels teach a class, every score is 0.5 and every document stays.
+    """
     return accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest doc_id."""
+    """One document of each group of near duplicates: that of the smallest doc_id.
+
+    Null, empty and wordless texts are near duplicates of nothing and stay.  Of
+    rows that share doc_id and words one stays.  Rows without a doc_id go if a
+    document with one is in their group; else one of each text stays.
+    """
     return without_near_duplicates(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind."""
+    """Documents with personal data replaced by its kind; n_chars follows.
+
+    Every document stays.  A null text stays null, with a null n_chars; an empty
+    one stays empty.
+    """
     return without_pii(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in the numbers that the sources' quotas ask for."""
+    """The documents in the numbers that the sources' quotas ask for.
+
+    A document comes once for each whole pass over it, and once more with the words
+    of its chosen blocks; n_chars follows.  Documents of which nothing is taken go,
+    null, empty and wordless ones among them.  A null source is the last source.
+    """
     return mix_documents(docs).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document: their number and hash, and the hash of the decoded text."""
+    """Ids of every document: their number and hash, and the hash of the decoded text.
+
+    A null or empty text has no ids and the hashes of nothing.
+    """
     return bpe_round_trip(docs, tokenizer_file("word_bpe_49k.json"))
 
 
