@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared_folder import broadcast_up_to, written
+from .shared_folder import broadcast_up_to, spread, written
 from .textbytes import flat_bytes, in_pieces, mix, shingle_hashes, word_bounds, word_hashes
 
 WIDTH = 5
@@ -87,17 +87,18 @@ def _sketch(width: int, k: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
+                        batch.column("hash"),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([_node_key(s) for s in sets], pa.binary()),
+                        pa.array([_set_key(s) for s in sets], pa.binary()),
                         pa.array([s[:k].view(np.int64) for s in sets], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "node", "sketch"],
+                    names=["doc_id", "hash", "n_shingles", "key", "sketch"],
                 )
 
     return run
 
 
-def _node_key(s: np.ndarray) -> bytes | None:
+def _set_key(s: np.ndarray) -> bytes | None:
     """128 bits that stand for a set: two sums of independently mixed values."""
     if not len(s):
         return None
@@ -106,12 +107,12 @@ def _node_key(s: np.ndarray) -> bytes | None:
 
 
 def _full_sets(width: int):
-    """Sets of the rows whose text has the node's set; a doc_id can have other texts too."""
+    """Sets of the rows (node, key, text) whose text has the key's set; a doc_id can have other texts too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in in_pieces(whole):
-                sets = [s if _node_key(s) == node else None for s, node in zip(_sets(batch.column("text"), width), batch.column("node").to_pylist(), strict=True)]
+                sets = [s if _set_key(s) == key else None for s, key in zip(_sets(batch.column("text"), width), batch.column("key").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([None if s is None else s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
     return run
@@ -283,22 +284,27 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 
 def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, percent: int = PERCENT, short: int = SHORT, members: int = MEMBERS, heavy: int = HEAVY) -> DataFrame:
-    """near_duplicates() with the node: the key of the row's set, null without shingles."""
+    """near_duplicates() with the key of the row's set, null without shingles."""
     need = sure(k, percent)
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = written(docs.mapInArrow(_sketch(width, k), "doc_id long, n_shingles long, node binary, sketch array<long>"), "sketches")
+    text = F.col("text").cast("string")
+    # doc_id and the text's hash find a row again, even where many rows share a doc_id or have none.
+    docs = spread(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    rows = written(docs.mapInArrow(_sketch(width, k), "doc_id long, hash long, n_shingles long, key binary, sketch array<long>"), "sketches")
+    # A node is a number from here on: lists and pairs hold 8 bytes of it.
     nodes = written(
-        rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
+        rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "hash")).alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")).withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
+    rows_repeat = not rows.groupBy("doc_id", "hash").count().where("count > 1").isEmpty()
 
     # Inverted lists of the rarest retained values that at least two nodes have.
-    retained = nodes.select("node", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
+    retained = nodes.select("node", "n", F.explode("sketch").alias("value"))
     shared = retained.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    m = F.least("n", F.lit(k))
     # A partner of more than k shingles retains k of them: of a small set's common values it can leave out the rest.
     small = F.least(F.ceil(F.col("n") * percent / 100), F.col("n") + k - F.floor(F.col("n") * 100 / percent))
-    least = F.when(F.col("m") < k, small).otherwise(F.lit(need))
+    least = F.when(F.col("n") < k, small).otherwise(F.lit(need))
     by_node = Window.partitionBy("node")
     entries = (
         retained.join(shared, "value")
@@ -306,8 +312,8 @@ def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, percent: int =
         .withColumn("n_shared", F.count("*").over(by_node))
         .withColumn("common_sum", F.sum("df").over(by_node))
         # Values of one node alone come first of all.
-        .where(F.col("rare") + F.col("m") - F.col("n_shared") <= F.col("m") - least + 1)
-        .select("value", "node", "n", (F.col("common_sum") / F.col("m")).alias("typical"))
+        .where(F.col("rare") + m - F.col("n_shared") <= m - least + 1)
+        .select("value", "node", "n", (F.col("common_sum") / m).alias("typical"))
     )
     entries = written(entries, "lists")
     hubs = entries.groupBy("value").agg(F.max(F.struct("typical", "node", "n")).alias("hub"), F.count("*").alias("members")).where("members > 1")
@@ -318,19 +324,19 @@ def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, percent: int =
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """Pairs with their estimate and exact intersection; full sets are made again from one text of each node."""
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        texts = written(nodes.select("node", F.col("low").alias("doc_id")).join(wanted, "node"), "wanted")
-        found = docs.join(broadcast_up_to(texts.withColumnRenamed("doc_id", "low"), BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("low")))
-        full = found.select("node", "text").mapInArrow(_full_sets(width), "node binary, shingles binary").where("shingles is not null").dropDuplicates(["node"])
-        full = written(full, "sets")
+        texts = written(nodes.select("node", "key", F.col("first.doc_id").alias("of_id"), F.col("first.hash").alias("of_hash")).join(wanted, "node"), "wanted")
+        found = docs.join(broadcast_up_to(texts, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash")))
+        full = found.select("node", "key", "text").mapInArrow(_full_sets(width), "node long, shingles binary").where("shingles is not null")
+        full = written(full.dropDuplicates(["node"]) if rows_repeat else full, "sets")
         # Hubs of many members are cut into blocks; there is one such hub for ``members`` pairs at most.
         large = written(pairs.groupBy("a").agg(F.ceil(F.count("*") / members).alias("blocks")).where("blocks > 1"), "large-hubs")
         block = F.pmod(F.xxhash64("b"), F.coalesce("blocks", F.lit(1)))
         dealt = written(pairs.join(broadcast_up_to(large, BROADCAST_ROWS), "a", "left").select("a", block.alias("block"), "b", "long", "n_a", "n_b"), "dealt-pairs")
-        of_members = dealt.join(full.withColumnRenamed("node", "b"), "b").select("a", "block", "b", "long", "n_a", "n_b", "shingles")
-        of_hubs = dealt.select("a", "block").distinct().join(full.withColumnRenamed("node", "a"), "a")
-        of_hubs = of_hubs.select("a", "block", *[F.lit(None).cast(t).alias(c) for c, t in (("b", "binary"), ("long", "boolean"), ("n_a", "long"), ("n_b", "long"))], "shingles")
-        by_hub = of_hubs.unionByName(of_members).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
-        return written(by_hub.mapInArrow(_verify(k, need, percent), "a binary, b binary, long boolean, n_a long, n_b long, common long, linked boolean, outside array<long>"), name)
+        # One join brings the sets of members and of hubs; then each block's go to one task, the hub's first.
+        of_hubs = dealt.select("a", "block").distinct().select(F.col("a").alias("node"), "a", "block", *[F.lit(None).cast(t).alias(c) for c, t in (("b", "long"), ("long", "boolean"), ("n_a", "long"), ("n_b", "long"))])
+        with_sets = of_hubs.unionByName(dealt.withColumn("node", F.col("b"))).join(full, "node").drop("node")
+        by_hub = with_sets.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
+        return written(by_hub.mapInArrow(_verify(k, need, percent), "a long, b long, long boolean, n_a long, n_b long, common long, linked boolean, outside array<long>"), name)
 
     star_pairs = verified(stars, "star_pairs")
     links = star_pairs.where("linked").select("a", "b")
@@ -355,15 +361,12 @@ def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, percent: int =
     later = verified(written(more, "pairs"), "later_pairs").where("linked").select("a", "b")
     root = written(components(links.unionByName(later), heavy=heavy), "roots")
 
-    of_node = nodes.select("node", "low").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of_node = nodes.select("key", "node", "low").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     labels = of_node.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_node = of_node.select("node", "root").join(labels, "root").select("node", "component_id")
-    return rows.select("doc_id", "n_shingles", "node").join(of_node, "node", "left").select(
-        "doc_id",
-        "n_shingles",
-        "node",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    of_key = of_node.select("key", "root").join(labels, "root").select("key", "component_id")
+    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    labelled_rows = rows.select("doc_id", "n_shingles", "key").join(of_key, "key", "left").select("doc_id", "n_shingles", "key", component.alias("component_id"))
+    return labelled_rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def without_near_duplicates(docs: DataFrame, *, width: int = WIDTH, **options) -> DataFrame:
@@ -373,7 +376,7 @@ def without_near_duplicates(docs: DataFrame, *, width: int = WIDTH, **options) -
     judged row by row, by the set of its text; so are rows without a doc_id.
     """
     names, schema = docs.columns, docs.schema
-    verdicts = written(labelled(docs, width=width, **options).select("doc_id", "node", "kept"), "verdicts")
+    verdicts = written(labelled(docs, width=width, **options).select("doc_id", "key", "kept"), "verdicts")
     by_id = verdicts.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
     several = (F.col("n") > 1) | F.col("doc_id").isNull()
     left = docs.join(written(by_id.where(~several & ~F.col("kept")).select("doc_id"), "gone"), "doc_id", "left_anti").select(names)
@@ -384,14 +387,14 @@ def without_near_duplicates(docs: DataFrame, *, width: int = WIDTH, **options) -
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in in_pieces(whole):
-                keys = [_node_key(s) for s in _sets(batch.column("text"), width)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=[*names, "m_node"])
+                keys = [_set_key(s) for s in _sets(batch.column("text"), width)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=[*names, "m_key"])
 
     of_shared = F.col("doc_id").eqNullSafe(F.col("m_id"))
-    rows = docs.join(shared, of_shared, "left_semi").mapInArrow(keyed, T.StructType([*schema.fields, T.StructField("m_node", T.BinaryType())]))
-    bad = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("b_id"), F.col("node").alias("b_node")).distinct()
-    rows = rows.join(bad, F.col("doc_id").eqNullSafe(F.col("b_id")) & F.col("m_node").eqNullSafe(F.col("b_node")), "left_anti")
-    once = rows.where("m_node is not null").dropDuplicates(["doc_id", "m_node"]).unionByName(rows.where("m_node is null"))
+    rows = docs.join(shared, of_shared, "left_semi").mapInArrow(keyed, T.StructType([*schema.fields, T.StructField("m_key", T.BinaryType())]))
+    bad = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("b_id"), F.col("key").alias("b_key")).distinct()
+    rows = rows.join(bad, F.col("doc_id").eqNullSafe(F.col("b_id")) & F.col("m_key").eqNullSafe(F.col("b_key")), "left_anti")
+    once = rows.where("m_key is not null").dropDuplicates(["doc_id", "m_key"]).unionByName(rows.where("m_key is null"))
     return left.join(shared, of_shared, "left_anti").unionByName(once.select(names))
 
 

@@ -124,6 +124,12 @@ def test_other_thresholds_lose_nothing(spark):
     assert found(near_duplicates(df, percent=50, short=4)) == brute(rows, 50)
 
 
+def test_rows_without_ids_are_found_again(spark):
+    rows = [(None if k % 2 else 5, t) for k, (_, t) in enumerate(hot_rows(4))]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), short=4)
+    assert sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1) for r in got.collect()) == sorted((d or -1, n, c or -1) for d, n, c in brute(rows))
+
+
 def test_odd_documents(odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     got = near_duplicates(odd_docs)
