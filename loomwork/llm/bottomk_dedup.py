@@ -58,6 +58,8 @@ BROADCAST_ROWS = 500_000
 MEMBERS = 250
 #: Nodes of so many edges have their edges joined where they are, not dealt to one task.
 HEAVY = 10_000
+#: Rounds of lists of first parts, and values that join a hub's set in one round at most.
+ROUNDS, JOIN_AT_ONCE = 3, 1_000
 
 
 def sure(k: int, percent: int, missed: float = MISSED) -> int:
@@ -183,6 +185,8 @@ def _with_low(edges: DataFrame, heavy: int) -> DataFrame:
     and their edges stay where they are.
     """
     low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    if edges.count() < heavy:
+        return edges.join(low.select("u", "m"), "u").select("u", "v", "m")
     hot = written(low.where(F.col("n") >= heavy).select(F.col("u").alias("hot"), F.col("m").alias("hot_m")), "heavy-nodes")
     low = low.where(F.col("n") < heavy).select("u", "m")
     if hot.isEmpty():
@@ -239,35 +243,46 @@ def _met(listed: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return _across(entries.select(F.struct("a", "value").alias("value"), F.col("b").alias("node"), "n", "root"), percent)
 
 
+def _listed(long_pairs: DataFrame, outside) -> DataFrame:
+    """(a, b, value, members) of the values in ``outside`` that several members of a hub have."""
+    values = long_pairs.select("a", "b", F.explode(outside).alias("value"))
+    shared = values.groupBy("a", "value").agg(F.count("*").alias("members")).where("members > 1")
+    return values.join(shared, ["a", "value"])
+
+
 def _members_alike(long_pairs: DataFrame, percent: int, short: int) -> DataFrame:
     """Pairs (a, b, n_a, n_b) of members of one hub that may link, in different components.
 
     Two linked members f and y share 75 % of each.  Put the shingles outside the
     hub's set C first, in the order of their values: then the first 25 % and one of
-    f and of y have one in common.  If that lies outside C, they meet in its list.
-    If it lies in C, the first part of each holds all that it has outside C, so
-    either they meet there too, or their common part lies in C, and sizes find it.
-    Members that have a long list in their first part are taken again: then all
-    that more than ``short`` of them share joins C, and the rest gives short lists.
+    f and of y have their first common one among them.  If that lies outside C, they
+    meet in its list.  If it lies in C, their whole common part does, and sizes find
+    it.  A list of more than ``short`` members gives no pairs: its value joins C,
+    and its members are taken again.  After ROUNDS all that more than ``short`` of
+    those that remain share joins C, and what is left outside gives short lists.
     """
     # Of two members in different components one at least is apart from the hub's.
-    members = long_pairs.select("a", "b", F.col("n_b").alias("n"), "common", F.col("root_b").alias("root"), (F.col("root_a") != F.col("root_b")).alias("apart"))
-
-    def listed(outside) -> DataFrame:
-        values = long_pairs.select("a", "b", F.explode(outside).alias("value"))
-        shared = values.groupBy("a", "value").agg(F.count("*").alias("members")).where("members > 1")
-        return values.join(shared, ["a", "value"])
-
-    first = written(listed(F.slice("outside", F.lit(1), (F.col("n_b") - F.ceil(F.col("n_b") * percent / 100) + 1).cast("int"))), "first-parts")
-    pairs = _met(first.where(F.col("members") <= short), members, percent).unionByName(_within(members, percent))
-    again = written(first.where(F.col("members") > short).select("a", "b").distinct(), "taken-again")
-    if again.isEmpty():
-        return pairs
-    long_pairs = long_pairs.join(again, ["a", "b"], "left_semi")
-    whole = written(listed(F.col("outside")), "whole-parts")
+    rest = long_pairs.select("a", "b", F.col("n_b").alias("n"), "common", F.col("root_b").alias("root"), (F.col("root_a") != F.col("root_b")).alias("apart"), "outside")
+    pairs = _within(rest, percent)
+    for _ in range(ROUNDS):
+        first = written(_listed(rest, F.slice("outside", F.lit(1), (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))), "first-parts")
+        pairs = pairs.unionByName(_met(first.where(F.col("members") <= short), rest, percent))
+        long = first.where(F.col("members") > short)
+        again = written(long.select("a", "b").distinct(), "taken-again")
+        if again.isEmpty():
+            return pairs
+        # The most frequent of a hub's long lists, so many at once that a row holds them.
+        by_hub = Window.partitionBy("a").orderBy(F.desc("members"), "value")
+        joins = long.select("a", "value", "members").distinct().withColumn("place", F.row_number().over(by_hub)).where(F.col("place") <= JOIN_AT_ONCE)
+        joins = written(joins.groupBy("a").agg(F.collect_list("value").alias("moved")), "joins-hub")
+        left = F.array_except("outside", "moved")
+        rest = rest.join(again, ["a", "b"], "left_semi").join(broadcast_up_to(joins, BROADCAST_ROWS // 50), "a")
+        rest = written(rest.select("a", "b", "n", (F.col("common") + F.size("outside") - F.size(left)).alias("common"), "root", "apart", left.alias("outside")), "rest")
+        pairs = pairs.unionByName(_within(rest, percent))
+    whole = written(_listed(rest, F.col("outside")), "whole-parts")
     extra = whole.where(F.col("members") > short).groupBy("a", "b").agg(F.count("*").alias("extra"))
-    members = members.join(again, ["a", "b"], "left_semi").join(extra, ["a", "b"], "left").withColumn("common", F.col("common") + F.coalesce("extra", F.lit(0)))
-    return pairs.unionByName(_met(whole.where(F.col("members") <= short), members, percent)).unionByName(_within(members, percent))
+    rest = rest.join(extra, ["a", "b"], "left").withColumn("common", F.col("common") + F.coalesce("extra", F.lit(0)))
+    return pairs.unionByName(_met(whole.where(F.col("members") <= short), rest, percent)).unionByName(_within(rest, percent))
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
