@@ -26,9 +26,11 @@ SAMPLE_PER_CLASS = 800
 #: The part of the rows that no model sees: crc32(doc_id) mod FOLDS is 0.
 FOLDS = 5
 THRESHOLD = 0.3
+#: Texts that are taken apart at once: a line has some 700 bytes of features, however short it is.
+PIECE_BYTES = 500_000
 BROADCAST_ROWS = 1_000_000
 
-_KINDS = np.zeros(256, dtype=np.int64)
+_KINDS = np.zeros(256, dtype=np.uint8)
 for _kind, _bytes in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,;:'\"()-", b"!?", b"|", b"#$%&*@^~_=+<>{}[]\\/`", b" \t\r\x0b\x0c"), start=1):
     _KINDS[list(_bytes)] = _kind
 _KINDS[128:192] = 9
@@ -163,7 +165,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_PER_CLA
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in in_pieces(batch):
+            for piece in in_pieces(batch, PIECE_BYTES):
                 x, length, lines = line_features(piece.column("text"))
                 x = x.astype(np.float32)
                 data = [x[a:b].tobytes() for a, b in zip(lines, lines[1:], strict=False)]
@@ -182,7 +184,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_PER_CLA
 
 def _scored(batches: Iterator[pa.RecordBatch], model: QualityModel | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     for batch in batches:
-        for piece in in_pieces(batch):
+        for piece in in_pieces(batch, PIECE_BYTES):
             yield piece, model.scores(piece.column("text")) if model else np.full(piece.num_rows, 0.5)
 
 
