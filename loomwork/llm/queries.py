@@ -89,6 +89,18 @@ def op10_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op11_crochemore_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .partition_runs import run_report
+
+    return run_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_elkan_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .elkan import clustered
+
+    return clustered(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_frames": op1_token_frames,
@@ -101,11 +113,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sainte_lague_mix": op8_sainte_lague_mix,
         "op9_pii_crf": op9_pii_crf,
         "op10_bpe_segment_tree": op10_bpe_segment_tree,
+        "op11_crochemore_runs": op11_crochemore_runs,
+        "op12_elkan_clusters": op12_elkan_clusters,
         "gif_timed_frames": gif_timed_frames,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import bottomk_dedup, preference
+    from . import bottomk_dedup, elkan, preference
 
-    return {"op5_preference_pairs": preference.SQL, "op6_minhash_near_dedup": bottomk_dedup.SQL}
+    return {"op5_preference_pairs": preference.SQL, "op6_minhash_near_dedup": bottomk_dedup.SQL, "op12_elkan_clusters": elkan.sql()}

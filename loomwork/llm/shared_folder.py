@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loomwork import scratch
 from loomwork.scratch import shared_path
 
-__all__ = ["broadcast_up_to", "open_fs", "publish", "shared_path", "spread", "written"]
+__all__ = ["broadcast_up_to", "discard", "open_fs", "publish", "shared_path", "spread", "written"]
 
 #: Bytes of the Arrow batches that Python workers get while a table is written.
 BATCH_BYTES = 8 << 20
@@ -34,6 +34,15 @@ def written(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
         return scratch.written(df, name, by=by)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table of written() that nothing will read again."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    files = df.inputFiles()
+    if files:
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``rows`` rows; else left to a shuffle join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
