@@ -101,6 +101,12 @@ def op12_elkan_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_zstd_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .zstd_toxicity import toxicity_scores
+
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_frames": op1_token_frames,
@@ -115,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_bpe_segment_tree": op10_bpe_segment_tree,
         "op11_crochemore_runs": op11_crochemore_runs,
         "op12_elkan_clusters": op12_elkan_clusters,
+        "op13_zstd_toxicity": op13_zstd_toxicity,
         "gif_timed_frames": gif_timed_frames,
     }
 
