@@ -31,10 +31,10 @@ from .textbytes import flat_bytes, in_pieces
 SAMPLE_PER_CLASS, SAMPLE_WINDOWS = 2_500, 64
 THRESHOLD = 0.5
 #: Bytes of a window, and of the two dictionaries.
-WINDOW, ORDINARY_BYTES, TOXIC_BYTES = 64, 16_384, 1_024
+WINDOW, ORDINARY_BYTES, TOXIC_BYTES = 96, 16_384, 1_024
 #: Bytes of a gram, as long as those that the dictionary's training counts; a gram of the toxic dictionary has so much
-#: evidence (log-likelihood ratio), and such a share of the strongest gram's.
-GRAM, EVIDENCE, SHARE = 6, 15.0, 0.05
+#: evidence (log-likelihood ratio), and one of these shares of the strongest gram's, whichever separates the sample best.
+GRAM, EVIDENCE, SHARES = 6, 15.0, (0.05, 0.1, 0.2)
 PIECE_BYTES = 1_000_000
 
 
@@ -69,7 +69,7 @@ def _evidence(toxic: np.ndarray, ordinary: np.ndarray, n_toxic: int, n_ordinary:
     return np.where(toxic > expected, ratio, 0.0)
 
 
-def _telling(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+def _telling(toxic: list[bytes], ordinary: list[bytes], share: float) -> list[bytes]:
     """Of each toxic text the pieces whose grams are evidence, joined by blanks."""
     held = [np.unique(_grams(t)) for t in toxic]
     grams, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
@@ -82,7 +82,7 @@ def _telling(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
         at = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
         others[at[grams[at] == own]] += 1
     evidence = _evidence(n, others, len(toxic), len(ordinary))
-    telling = grams[evidence >= max(EVIDENCE, SHARE * evidence.max())]
+    telling = grams[evidence >= max(EVIDENCE, share * evidence.max())]
     out = []
     for t in toxic:
         edges = np.zeros(len(t) + 1, dtype=np.int64)
@@ -132,7 +132,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self.features(column) @ np.array(self.weights), -30, 30)))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _compressors(ordinary: bytes, toxic: bytes) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
     # Tables that hold every place of both dictionaries; frames without what would only add bytes.
     log = max(10, (len(ordinary) + len(toxic)).bit_length())
@@ -143,10 +143,10 @@ def _compressors(ordinary: bytes, toxic: bytes) -> tuple[zstandard.ZstdCompresso
     return tuple(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(c, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=how) for c in contents)
 
 
-def fit_dictionaries(texts: list[list[bytes]], toxic: list[int]) -> ToxicityModel:
+def fit_dictionaries(texts: list[list[bytes]], toxic: list[int], share: float = SHARES[0]) -> ToxicityModel:
     """Dictionaries from the windows of labelled documents; the model has no weights yet."""
     of = [[parts for parts, label in zip(texts, toxic, strict=True) if label == k] for k in (0, 1)]
-    said = _telling([b"".join(parts) for parts in of[1]], [b"".join(parts) for parts in of[0]])
+    said = _telling([b"".join(parts) for parts in of[1]], [b"".join(parts) for parts in of[0]], share)
     ordinary = [part for parts in of[0] for part in parts if part]
     return ToxicityModel(_trained(ordinary, ORDINARY_BYTES, level=3), _trained(said, TOXIC_BYTES, k=16, d=GRAM, level=3))
 
@@ -177,20 +177,27 @@ def learn(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_PER_CLA
     rows = texts.mapInArrow(some, "doc_id long, toxic int, parts array<binary>").dropDuplicates(["doc_id"]).dropDuplicates(["parts"]).orderBy("doc_id").collect()
     if len({r.toxic for r in rows}) < 2:
         return None
-    model = fit_dictionaries([[bytes(p) for p in r.parts] for r in rows], [r.toxic for r in rows])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    parts, toxic = [[bytes(p) for p in r.parts] for r in rows], [r.toxic for r in rows]
+    models = [fit_dictionaries(parts, toxic, s) for s in SHARES]
+    shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in in_pieces(batch, PIECE_BYTES):
-                x = shared.value.features(piece.column("text"))
+                x = np.concatenate([m.features(piece.column("text")) for m in shared.value], axis=1)
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("toxic"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "toxic", "x"])
 
     seen = texts.mapInArrow(measured, "doc_id long, toxic int, x array<double>").orderBy("doc_id", "x").collect()
     x, y = np.array([r.x for r in seen]), np.array([r.toxic for r in seen])
     counts = np.bincount(y, minlength=2)
     weights = np.where(y == 1, share / max(counts[1], 1), (1 - share) / max(counts[0], 1)) * len(y)
-    return ToxicityModel(model.ordinary, model.toxic, model.thresholds, tuple(logistic(x, y, weights, ridge=0.1)))
+    best: tuple[float, ToxicityModel | None] = (math.inf, None)
+    for model, own in zip(models, np.split(x, len(models), axis=1), strict=True):
+        beta = logistic(own, y, weights, ridge=0.1)
+        loss = float((weights * np.logaddexp(0, np.where(y == 1, -1, 1) * (own @ beta))).sum())
+        if loss < best[0]:
+            best = loss, ToxicityModel(model.ordinary, model.toxic, model.thresholds, tuple(beta))
+    return best[1]
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, **options) -> DataFrame:
