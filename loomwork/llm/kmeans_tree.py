@@ -49,7 +49,13 @@ MOST_CENTRES = 100_000
 BLOCK = 4096
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component to 0.5 up to 1: squares neither under- nor overflow, no digit changes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=-1, keepdims=True))[1]) if x.size else x
+
+
 def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -157,6 +163,7 @@ def _vectors(values: list) -> np.ndarray:
 
 def _score(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Cosines of rows of q with rows of x, each pair summed in the same order wherever it is computed."""
+    q, x = scaled(q), scaled(x)
     return (q * x).sum(axis=-1) / np.sqrt((q * q).sum(axis=-1) * (x * x).sum(axis=-1))
 
 

@@ -62,6 +62,17 @@ def test_odd_vectors(spark):
     assert {r.query_id for r in nearest(df.where("vec_id in (0, 1)")).collect()} == {0}
 
 
+def test_vectors_of_any_magnitude_are_found(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 8))
+    # Times powers of two: the same cosines to the last digit.
+    y = x * 2.0 ** rng.choice([-700, -300, 0, 300, 900], size=(600, 1))
+    tables = [spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(z)], "vec_id long, embedding array<double>") for z in (x, y)]
+    one, other = (sorted(map(tuple, nearest(t, recall=1.0).collect())) for t in tables)
+    assert one == other and len(one) == 60 and all(abs(r[3]) <= 1 + 1e-12 for r in one)
+    assert len(np.unique(Tree.fit(unit(y), leaf_sample=50).leaf_of(unit(y)))) > 5
+
+
 def test_queries_in_thin_leaves_get_all_their_neighbours(spark):
     rng = np.random.default_rng(4)
     centres = unit(rng.normal(size=(100, 16)))
