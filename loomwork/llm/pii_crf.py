@@ -5,8 +5,9 @@ phone numbers without a plus sign, card numbers with other separators, addresses
 with a masked @.  Its tokens are words with a digit, an @ or a mask in brackets;
 any other word is outside by definition, so a text falls apart into short chains
 of such words, and decoding chains by themselves gives the same labels as decoding
-the text.  Words of more than ``LONG`` characters, as in JSON, CSV and addresses of
-pages, are cut into their fields first.  Chains of a whole batch are decoded together by Viterbi in numpy.
+the text.  Words are cut into their fields first, as JSON, CSV and addresses of pages
+need it: whatever a word's length, in training and in use.  Chains of a whole batch
+are decoded together by Viterbi in numpy.
 """
 
 from __future__ import annotations
@@ -38,9 +39,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]|[\[(](?:at|AT)[\])]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: The fields of a long word: masks, area codes and numbers such as 12/30 stay whole.
+#: The fields of a word: masks, area codes and numbers such as 12/30 stay whole.
 _FIELD = re.compile(r"""(?:[^\[\](),;"'{}|<>&?=:/\\]++|[\[(](?:at|AT|dot|DOT)[\])]|\([0-9]++\)|(?<=[0-9])[/:](?=[0-9]))++""")
-LONG = 80
 #: Longer words are not kept in the cache of shapes.
 CACHED = 400
 _NO_DIGITS = str.maketrans("", "", " -().+/_\t")
@@ -225,9 +225,10 @@ class PiiModel:
     """A CRF trained on a labelled table."""
 
     def __init__(self, table: list[tuple[str | None, list[str], list[str]]]):
-        x = np.concatenate([chain_features(words, before) for before, words, _ in table])
-        y = np.array([LABELS.index(label) for _, _, labels in table for label in labels])
-        offsets = np.concatenate(([0], np.cumsum([len(words) for _, words, _ in table])))
+        chains = [c for before, words, labels in table for c in _labelled_chains(before, words, labels)]
+        x = np.concatenate([chain_features(words, before) for before, words, _ in chains])
+        y = np.array([LABELS.index(label) for _, _, labels in chains for label in labels])
+        offsets = np.concatenate(([0], np.cumsum([len(words) for _, words, _ in chains])))
         self.weights, self.transitions = train(x, y, offsets, len(LABELS), rounds=150, decay=3e-5)
         for k, label in enumerate(LABELS):
             if label.startswith("I-"):
@@ -249,24 +250,45 @@ class PiiModel:
 
 
 def chains_of(text: str) -> list[tuple[str | None, list[tuple[int, int]]]]:
-    """(plain word before, spans of the words) of every chain of words with a sign.
+    """(plain field before, spans of the fields) of every chain of fields with a sign.
 
-    Fields of a long word are words, and no chain goes from one field to the next.
+    Only the first field of a word goes on with the chain of the word before.
     """
     out, before, chain = [], None, []
     for m in _WORD.finditer(text):
-        words = [m.span()] if m.end() - m.start() <= LONG else [f.span() for f in _FIELD.finditer(text, *m.span())]
-        for k, (a, b) in enumerate(words):
-            sign = _SIGN.search(text, a, b)
+        if not _SIGN.search(text, *m.span()):
+            if chain:
+                out.append((before, chain))
+                chain = []
+            before = m.span()
+            continue
+        for k, f in enumerate(_FIELD.finditer(text, *m.span())):
+            sign = _SIGN.search(text, *f.span())
             if chain and (k or not sign):
                 out.append((before, chain))
                 chain = []
             if sign:
-                chain.append((a, b))
+                chain.append(f.span())
             else:
-                before = text[a:b]
+                before = f.span()
     if chain:
         out.append((before, chain))
+    return [(_last_field(text, b), c) for b, c in out]
+
+
+def _last_field(text: str, span: tuple[int, int] | None) -> str | None:
+    fields = _FIELD.findall(text, *span) if span else []
+    return fields[-1] if fields else None
+
+
+def _labelled_chains(before: str | None, words: list[str], labels: list[str]) -> list[tuple[str | None, list[str], list[str]]]:
+    """The chains of a labelled row's fields; the longest field of a word has the word's label."""
+    text, out = " ".join(words), []
+    starts = [0, *np.cumsum([len(w) + 1 for w in words]).tolist()]
+    longest = [max((f.span() for f in _FIELD.finditer(text, a, a + len(w))), key=lambda s: s[1] - s[0], default=None) for a, w in zip(starts, words, strict=False)]
+    said = {span: label for span, label in zip(longest, labels, strict=True) if span}
+    for own, chain in chains_of(text):
+        out.append((own or before, [text[a:b] for a, b in chain], [said.get(span, "O") for span in chain]))
     return out
 
 

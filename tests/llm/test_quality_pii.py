@@ -125,6 +125,18 @@ def test_long_words_are_read_to_their_end():
         find_all([text], model)
 
 
+def test_words_give_the_same_spans_at_any_length():
+    model = PiiModel(labelled_table())
+    cases = {"(212)555-0143;(212)555-0199": [("phone", "(212)555-0143"), ("phone", "(212)555-0199")], '{"u":"bob.smith[at]host.com","k":1}': [("email", "bob.smith[at]host.com")], "pay;4111.1111.1111.1111;ok": [("card", "4111.1111.1111.1111")], "x=12:30&y=2019": []}
+    for text, want in cases.items():
+        for fill in (0, 20, 70, 200, 3_000):
+            for padded in (text + ";" + "a" * fill, "a" * fill + ";" + text):
+                ((_, spans),) = find_all([padded], model)
+                assert [(k, padded[a:b]) for k in KINDS for a, b in spans[k]] == want, padded[:80]
+    ((_, spans),) = find_all(['{"u":"bob.smith[at]host.com","k":1}'], model)
+    assert redact('{"u":"bob.smith[at]host.com","k":1}', spans) == '{"u":"[EMAIL]","k":1}'
+
+
 def test_pii_of_odd_documents(odd_docs, no_docs):
     rows = find_pii(odd_docs).collect()
     assert len(rows) == odd_docs.count()
