@@ -18,7 +18,7 @@ from loomwork.plans.pipeline import SCHEMAS, Pipeline
 from loomwork.plans.store import TableStore
 from loomwork.registry import Tables, query
 from loomwork.scratch import shared_path
-from loomwork.sources.mysqldump import Dump, read_mysql_dump, rendered
+from loomwork.sources.mysqldump import Dump, counted_classes, read_mysql_dump, rendered, write_extended
 from loomwork.streaming.incremental import load_stream
 
 
@@ -72,11 +72,18 @@ def _(t: Tables) -> DataFrame:
     return _typed_back(_read(t, {"customer": _hard(t)}, crlf=True, escape_breaks=False).tables["customer"])
 
 
+@query("dump_extended_insert", _HARD_SQL)
+def _(t: Tables) -> DataFrame:
+    """The same where one INSERT a file has all rows, in one line, and files are read in blocks of 64 KB."""
+    path = shared_path(t.spark, "dump")
+    write_extended(_hard(t), "customer", path, escape_breaks=False)
+    return _typed_back(read_mysql_dump(t.spark, path, block_bytes=1 << 16).tables["customer"])
+
+
 @query("dump_table_classes", "SELECT * FROM (VALUES ('caja', 'in_scope', 1), ('medias', 'excluded', 0), ('nation', 'unknown', 25)) v(name, class, n)")
 def _(t: Tables) -> DataFrame:
     found = _read(t, {"nation": t.nation, "caja": t.region.select(_text("r_name").alias("conceptoCaja")).where("conceptoCaja = 'x'").unionByName(t.region.limit(1).select(F.lit("y").alias("conceptoCaja"))), "medias": t.region.select("r_regionkey")})
-    counts = [(name, kind, found.tables[name].count() if name in found.tables else 0) for kind in ("in_scope", "excluded", "unknown") for name in getattr(found, kind)]
-    return t.spark.createDataFrame(counts, "name string, class string, n int")
+    return counted_classes(found)
 
 
 # Entities --------------------------------------------------------------------

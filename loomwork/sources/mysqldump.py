@@ -1,12 +1,10 @@
 """SQL text dumps as DataFrames.
 
-A semicolon at a line's end ends a statement, and Spark splits the file there;
-lines end with LF or CRLF.  Dumps escape line breaks inside literals.  Where one
-does not, a piece has an odd number of quotes; such pieces are put together again
-by their places in the file.  The statements are written once, in a folder for
-each table, and every table reads its own.  Tuples and values come out of a
-statement by regular expressions with possessive quantifiers, all in the JVM.
-Only the CREATE TABLE statements are parsed on the driver.
+dump_scan cuts files into lists of values and other statements, block by block, so
+an INSERT of any length is read by many tasks.  They are written once, in a folder
+for each table, and every table reads its own.  Tuples and values come out of a
+list by regular expressions with possessive quantifiers, in the JVM.  Only the
+CREATE TABLE statements are parsed on the driver.
 """
 
 from __future__ import annotations
@@ -14,18 +12,18 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.functions.text import unescape_sql
 from loomwork.scratch import written
 
+from .dump_scan import cut_dump
+
 # Tables of the legacy system that are read, and those that are left out.
 IN_SCOPE = ("caja", "cirugias", "fichas", "historiaclinica", "inst_doctor", "inst_horarios", "inst_motivo", "inst_obrasoc", "inst_turnos")
 EXCLUDED = ("inst_alt", "medias", "ventamedias")
 
-_LEADING = r"(?i)\A(?:\s*+(?:(?:--|#)[^\n]*+(?:\n|\z)|/\*(?s:.*?)\*/;?|(?:UN)?LOCK TABLES[^\n;]*+;?))*+\s*+"
-_INSERT = r"(?is)\A(?:INSERT(?:\s++IGNORE)?|REPLACE)\s++INTO\s++`?([^`\s(]++)`?[^']*?\bVALUES\s*+"
 _LITERAL = r"'(?:[^'\\]++|\\.)*+'"
 _TUPLE = rf"(?s)\((?:{_LITERAL}|[^'()]++)*+\)"
 _VALUE = rf"(?s)((?:{_LITERAL}|[^',]++)*+),"
@@ -67,56 +65,14 @@ def parse_create(statement: str) -> tuple[str, list[str]] | None:
     return head[1], [w[1] or w[2] for w in words if w and not (w[2] and w[2].upper() in _NO_COLUMN)]
 
 
-def _odd_quotes(text):
-    """Whether a literal is open at the end of a text."""
-    plain = F.regexp_replace(text, r"(?s)\\.", "")
-    return (F.length(plain) - F.length(F.replace(plain, F.lit("'"), F.lit("")))) % 2 == 1
-
-
-def _put_together(pieces: DataFrame) -> DataFrame:
-    """Pieces (file, block, place, sub, piece, odd) of cut statements joined again, in their order in the file.
+def statements(spark: SparkSession, path: str, *, block_bytes: int | None = None) -> DataFrame:
+    """(statement, table) rows: lists of values with the table that they are for, and other statements with a null table.
 
-    A statement begins at a piece before which a file has an even number of odd
-    pieces: a running sum over the blocks of a file, and one within each block.
+    Statements come without the comments, locks and blanks before them.  A piece
+    that does not begin as a statement does, or a literal without an end, fails the
+    read: nothing is left out in silence.
     """
-    place = Window.partitionBy("file", "block").orderBy("place", "sub")
-    odd = F.col("odd").cast("long")
-    sums = pieces.groupBy("file", "block").agg(F.sum(odd).alias("n"))
-    over_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = sums.select("file", "block", F.coalesce(F.sum("n").over(over_blocks), F.lit(0)).alias("earlier"))
-    within = F.coalesce(F.sum(odd).over(place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = pieces.join(earlier, ["file", "block"]).withColumn("before", F.col("earlier") + within).withColumn("open", F.col("before") % 2 == 1)
-    whole = rows.where(~F.col("open") & ~F.col("odd")).select("piece")
-    # The piece that opens a literal, those inside it, and the one that closes it.
-    cut = rows.where(F.col("open") | F.col("odd")).withColumn("start", F.floor(F.col("before") / 2))
-    joined = cut.groupBy("file", "start").agg(F.array_sort(F.collect_list(F.struct("block", "place", "sub", "piece"))).alias("parts"), F.sum(odd).alias("n"))
-    text = F.array_join(F.transform("parts", lambda p: p["piece"]), "")
-    closed = F.when(F.col("n") == 2, text).otherwise(F.raise_error(F.concat(F.col("file"), F.lit(": a literal has no end"))).cast("string"))
-    return whole.unionByName(joined.select(closed.alias("piece")))
-
-
-def statements(spark: SparkSession, path: str) -> DataFrame:
-    """(statement, table) rows without the comments, locks and blanks before them; table is that of an INSERT, else null.
-
-    A piece that does not begin as a statement does fails the read: nothing is
-    left out in silence.
-    """
-    # Only how the first lines end decides the separator; a file that mixes both ends is cut further below.
-    head = spark.read.text(path, lineSep="\n").limit(100).agg(F.max(F.col("value").endswith("\r").cast("int")).alias("crlf")).first()
-    end = ";\r\n" if head.crlf else ";\n"
-    cut = spark.read.text(path, lineSep=end).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-        F.posexplode(F.split(F.concat("value", F.lit(end)), r"(?<=;\n|;\r\n)")).alias("sub", "piece"),
-    )
-    text = F.regexp_replace("piece", _LEADING, "")
-    pieces = written(cut.where("piece <> ''").withColumn("odd", _odd_quotes(text)), "dump-pieces")
-    whole = _put_together(pieces) if not pieces.where("odd").isEmpty() else pieces.select("piece")
-    whole = whole.select(F.regexp_replace(text, r"[\s;]++\z", "").alias("statement")).where("statement <> ''")
-    known = F.when(F.col("statement").rlike(r"\A(?:[A-Za-z]|/\*!)"), F.col("statement")).otherwise(F.raise_error(F.concat(F.lit("no statement: "), F.substring("statement", 1, 60))).cast("string"))
-    whole = whole.select(known.alias("statement"))
-    return written(whole.select("statement", F.nullif(F.regexp_extract("statement", _INSERT, 1), F.lit("")).alias("table")), "dump-statements", by="table")
+    return written(cut_dump(spark, path, block_bytes=block_bytes), "dump-statements", by="table")
 
 
 def literal(value):
@@ -125,23 +81,23 @@ def literal(value):
     return F.when(F.lower(x) == "null", None).when(x.startswith("'"), unescape_sql(F.substring(x, F.lit(2), F.length(x) - 2))).otherwise(x)
 
 
-def read_mysql_dump(spark: SparkSession, path: str, *, in_scope: tuple[str, ...] = IN_SCOPE, excluded: tuple[str, ...] = EXCLUDED) -> Dump:
+def read_mysql_dump(spark: SparkSession, path: str, *, in_scope: tuple[str, ...] = IN_SCOPE, excluded: tuple[str, ...] = EXCLUDED, block_bytes: int | None = None) -> Dump:
     """All tables of a dump that have a CREATE TABLE statement; a row of another length than its table fails the read.
 
     The first definition of a table counts.  Rows for tables without a definition
     and for excluded tables are not read.  A column list after the table's name is
-    ignored: values go by position.
+    ignored: values go by position.  Files are read in blocks of ``block_bytes``, the
+    session's setting if that is not given; a statement of any length takes many.
     """
-    every = statements(spark, path)
+    every = statements(spark, path, block_bytes=block_bytes)
     defined: dict[str, list[str]] = {}
     # Definitions are a handful of short statements.
     for row in every.where(F.col("table").isNull() & F.col("statement").rlike(r"(?i)\ACREATE\s+TABLE")).collect():
         found = parse_create(row.statement)
         if found:
             defined.setdefault(*found)
-    tuples = F.regexp_replace("statement", _INSERT, "")
-    rest = F.regexp_replace(tuples, _TUPLE, "")
-    whole = F.when(rest.rlike(r"\A[\s,]*+(?:(?i)ON\s+DUPLICATE\s+KEY\b|\z)"), tuples).otherwise(F.raise_error(F.concat("table", F.lit(": no list of values: "), F.substring(F.trim(rest), 1, 60))).cast("string"))
+    rest = F.regexp_replace("statement", _TUPLE, "")
+    whole = F.when(rest.rlike(r"\A[\s,]*+(?:(?i)ON\s+DUPLICATE\s+KEY\b|\z)"), F.col("statement")).otherwise(F.raise_error(F.concat("table", F.lit(": no list of values: "), F.substring(F.trim(rest), 1, 60))).cast("string"))
     rows = every.where("table is not null").select("table", F.explode(F.regexp_extract_all(whole, F.lit(_TUPLE), F.lit(0))).alias("tuple"))
     values = F.regexp_extract_all(F.concat(F.expr("substring(tuple, 2, length(tuple) - 2)"), F.lit(",")), F.lit(_VALUE), F.lit(1))
     rows = rows.select("table", values.alias("values"))
@@ -169,9 +125,19 @@ def parse_mysql_dump(spark: SparkSession, path: str) -> dict:
     return {"tables": sorted(dump.tables), "records": sum(df.count() for df in dump.tables.values())}
 
 
-def rendered(df: DataFrame, table: str, *, escape_breaks: bool = True) -> DataFrame:
-    """(value) rows that say ``df`` as a dump does: the definition, then an INSERT a row; for tests and exports."""
-    spark = df.sparkSession
+def counted_classes(dump: Dump) -> DataFrame:
+    """(name, class, n): the tables of a dump, their class, and the rows of those that are read, counted in one job."""
+    spark = next(iter(dump.tables.values())).sparkSession
+    names = spark.createDataFrame([(t, c) for c in ("in_scope", "excluded", "unknown") for t in getattr(dump, c)], "name string, class string")
+    rows = None
+    for name, df in dump.tables.items():
+        own = df.select(F.lit(name).alias("name"))
+        rows = own if rows is None else rows.unionByName(own)
+    return names.join(rows.groupBy("name").agg(F.count("*").alias("n")), "name", "left").select("name", "class", F.coalesce("n", F.lit(0)).cast("int").alias("n"))
+
+
+def _said(df: DataFrame, escape_breaks: bool) -> Column:
+    """The rows' values as a dump says them, in brackets."""
     escapes = {"\\": "\\\\", "'": "\\'"} | ({"\n": "\\n", "\r": "\\r"} if escape_breaks else {})
 
     def quoted(c: str):
@@ -181,6 +147,24 @@ def rendered(df: DataFrame, table: str, *, escape_breaks: bool = True) -> DataFr
         return F.concat(F.lit("'"), x, F.lit("'"))
 
     said = [F.coalesce(quoted(c) if t == "string" else F.col(c).cast("string"), F.lit("NULL")) for c, t in df.dtypes]
-    rows = df.select(F.concat(F.lit(f"INSERT INTO `{table}` VALUES ("), F.concat_ws(",", *said), F.lit(")")).alias("value"))
+    return F.concat(F.lit("("), F.concat_ws(",", *said), F.lit(")"))
+
+
+def _definition(df: DataFrame, table: str) -> str:
     body = ",\n".join(f"  `{c}` text" for c in df.columns)
-    return spark.createDataFrame([(f"-- structure\nCREATE TABLE `{table}` (\n{body},\n  PRIMARY KEY (`{df.columns[0]}`)\n) ENGINE=InnoDB",)], "value string").unionByName(rows)
+    return f"-- structure\nCREATE TABLE `{table}` (\n{body},\n  PRIMARY KEY (`{df.columns[0]}`)\n) ENGINE=InnoDB"
+
+
+def rendered(df: DataFrame, table: str, *, escape_breaks: bool = True) -> DataFrame:
+    """(value) rows that say ``df`` as a dump does: the definition, then an INSERT a row; for tests and exports."""
+    rows = df.select(F.concat(F.lit(f"INSERT INTO `{table}` VALUES "), _said(df, escape_breaks)).alias("value"))
+    return df.sparkSession.createDataFrame([(_definition(df, table),)], "value string").unionByName(rows)
+
+
+def write_extended(df: DataFrame, table: str, path: str, *, escape_breaks: bool = True) -> None:
+    """Add ``df`` to the dump in a folder: its definition, and a file for each partition with one INSERT for all its rows, in one line."""
+    df.sparkSession.createDataFrame([(_definition(df, table),)], "value string").write.mode("append").option("lineSep", ";\n").text(path)
+    # The first row of a partition has a number whose lower 33 bits are 0.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    rows = df.select(F.concat(F.when(first, f"INSERT INTO `{table}` VALUES ").otherwise(""), _said(df, escape_breaks)).alias("value"))
+    rows.write.mode("append").option("lineSep", ",").text(path)
