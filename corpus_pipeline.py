@@ -50,7 +50,10 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Every document stays.  A null text stays null, with a null n_chars; an empty
     one stays empty.
     """
-    return without_pii(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    clean = without_pii(docs)
+    at = [k for k, c in enumerate(clean.columns) if c == "n_chars"]
+    plain = clean.toDF(*["text" if c == "text" else f"_{k}" for k, c in enumerate(clean.columns)])
+    return plain.withColumns({f"_{k}": F.length("text").cast("long") for k in at}).toDF(*clean.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +63,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     of its chosen blocks; n_chars follows.  Documents of which nothing is taken go,
     null, empty and wordless ones among them.  A null source is the last source.
     """
-    return mix_documents(docs).select(docs.columns)
+    return mix_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,14 +20,17 @@ shingle's identity and as its random order.
     give their pairs across components.  Long lists never give their pairs: of a
     hub whose members stand in several components, two members either share a
     shingle outside the hub's set, and then meet in a list of such shingles; or
-    their common part lies within it, and then they can only link if (|f| + |y|) *
-    3 / 7 <= the common part of each with the hub, which a join on sizes finds.
-    Either way nothing is lost; _members_alike() says how these lists stay short.
+    their common part lies within it.  For the second case each member is a set of
+    bits over the hub's shingles, blocks of members meet in numpy, and only links
+    become rows.  Either way nothing is lost; _members_alike() says how these lists
+    stay short.
 5.  Pairs pass the union-sketch estimate, then exact Jaccard on full sets.  A
     hub's set comes once for each block of its members, which stream past it.
 
-Only pairs that can change the components are looked at, so a group of any size
-costs its members times its hubs, not its square.
+Only pairs that can change the components are looked at.  Rows grow with a group's
+members times its hubs.  What can grow with the square of a group is the number of
+bit sets compared in the tasks of step 4: members that no link has joined to their
+hub, of fitting sizes, each with the others.
 """
 
 from __future__ import annotations
@@ -36,12 +39,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared_folder import broadcast_up_to, spread, written
+from .shared_folder import broadcast_up_to, discard, neutral, spread, written
 from .textbytes import flat_bytes, in_pieces, mix, shingle_hashes, word_bounds, word_hashes
 
 WIDTH = 5
@@ -50,12 +54,16 @@ K = 64
 PERCENT = 75
 #: The chance that a link of two sets beyond the sketch shares fewer retained values than is asked for.
 MISSED = 1e-15
+#: A sketch that holds any set whole.
+ALL = 1 << 40
 #: Lists of up to so many nodes give their pairs across components.
 SHORT = 24
 #: The wanted (node, doc_id) rows are broadcast up to so many, and joined by a shuffle beyond.
 BROADCAST_ROWS = 500_000
 #: Members that one task compares with their hub before another task takes more of them.
 MEMBERS = 250
+#: Members of a hub, of either side, whose bit sets one task compares.
+BIT_ROWS = 1_000
 #: Nodes of so many edges have their edges joined where they are, not dealt to one task.
 HEAVY = 10_000
 #: Rounds of lists of first parts, and values that join a hub's set in one round at most.
@@ -133,6 +141,13 @@ def _estimated(a: np.ndarray, b: np.ndarray, k: int) -> int | None:
     return upto - k
 
 
+def _bits(at: np.ndarray, n: int) -> bytes:
+    """A set of places below n, in whole words of 64 bits."""
+    out = np.zeros(-(-max(n, 1) // 64) * 64, dtype=bool)
+    out[at] = True
+    return np.packbits(out).tobytes()
+
+
 def _verify(k: int, need: int, percent: int):
     """Estimate, then exact intersection of hubs and members; ``outside`` only for members of long lists.
 
@@ -143,7 +158,7 @@ def _verify(k: int, need: int, percent: int):
         hub, own = None, np.zeros(0, np.uint64)
         for batch in batches:
             data, offsets = flat_bytes(batch.column("shingles"))
-            rows, common, linked, outside = [], [], [], []
+            rows, common, linked, outside, inside = [], [], [], [], []
             for row, (a, member, wanted) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").is_valid().to_pylist(), batch.column("long").to_pylist(), strict=True)):
                 b = data[offsets[row] : offsets[row + 1]].view(np.uint64)
                 if not member:
@@ -156,16 +171,19 @@ def _verify(k: int, need: int, percent: int):
                     common.append(None)
                     linked.append(False)
                     outside.append(None)
+                    inside.append(None)
                     continue
-                both = own[np.minimum(np.searchsorted(own, b), len(own) - 1)] == b
+                at = np.minimum(np.searchsorted(own, b), len(own) - 1)
+                both = own[at] == b
                 n = int(both.sum())
                 common.append(n)
                 linked.append(100 * n >= percent * (len(own) + len(b) - n))
                 outside.append(b[~both].view(np.int64) if wanted else None)
+                inside.append(_bits(at[both], len(own)) if wanted else None)
             kept = batch.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*[kept.column(c) for c in ("a", "b", "long", "n_a", "n_b")], pa.array(common, pa.int64()), pa.array(linked, pa.bool_()), pa.array(outside, pa.list_(pa.int64()))],
-                names=["a", "b", "long", "n_a", "n_b", "common", "linked", "outside"],
+                [*[kept.column(c) for c in ("a", "b", "long", "n_a", "n_b")], pa.array(common, pa.int64()), pa.array(linked, pa.bool_()), pa.array(outside, pa.list_(pa.int64())), pa.array(inside, pa.binary())],
+                names=["a", "b", "long", "n_a", "n_b", "common", "linked", "outside", "inside"],
             )
 
     return run
@@ -227,14 +245,57 @@ def _across(entries: DataFrame, percent: int) -> DataFrame:
     return a.join(b, (a["value"] == b["value"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _sizes_fit(percent)).select("a", "b", "n_a", "n_b").distinct()
 
 
-def _within(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) of a hub's members (a, b, n, common, root, apart) in different components whose common part can lie within what ``common`` counts: by a join on sizes."""
-    smaller = members.select("a", F.col("b").alias("y"), F.col("n").alias("n_y"), F.col("common").alias("common_y"), F.col("root").alias("root_y"))
-    least, reach = F.ceil(F.col("n") * percent / 100), F.floor(F.col("common") * (100 + percent) / percent) - F.col("n")
-    opened = members.where("apart").withColumn("n_y", F.explode(F.when(reach >= least, F.sequence(least, reach)).otherwise(F.array().cast("array<bigint>"))))
-    found = opened.join(smaller, ["a", "n_y"]).where(F.col("root") != F.col("root_y")).where(F.col("common_y") * (100 + percent) >= percent * (F.col("n") + F.col("n_y")))
-    first = F.col("b") < F.col("y")
-    return found.select(F.least("b", "y").alias("a"), F.greatest("b", "y").alias("b"), F.when(first, F.col("n")).otherwise(F.col("n_y")).alias("n_a"), F.when(first, F.col("n_y")).otherwise(F.col("n")).alias("n_b"))
+def _linked_bits(apart: pd.DataFrame, others: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links (a, b) across components of members whose common part within the hub's set suffices.
+
+    Rows are b, n, common, root, apart, inside (bits over the hub's shingles) and extra
+    (values that have joined them).  Sizes and common parts are looked at before bits.
+    """
+    empty = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    if not len(apart) or not len(others):
+        return empty
+    extras = [[np.asarray(v if v is not None else [], dtype=np.int64) for v in side["extra"]] for side in (apart, others)]
+    known = np.unique(np.concatenate([v for side in extras for v in side]))
+
+    def bits(side: pd.DataFrame, extra: list[np.ndarray]) -> np.ndarray:
+        joined = [bytes(x) + _bits(np.searchsorted(known, v), len(known)) for x, v in zip(side["inside"], extra, strict=True)]
+        return np.frombuffer(b"".join(joined), dtype=np.uint64).reshape(len(side), -1)
+
+    left, right = bits(apart, extras[0]), bits(others, extras[1])
+    b, n, common, root, is_apart = (others[c].to_numpy() for c in ("b", "n", "common", "root", "apart"))
+    found = []
+    for i, (x, n_x, common_x, root_x) in enumerate(zip(apart["b"].to_numpy(), apart["n"].to_numpy(), apart["common"].to_numpy(), apart["root"].to_numpy(), strict=True)):
+        # Two members that are both apart come once.
+        fits = (root != root_x) & (~is_apart | (b > x)) & (np.minimum(common, common_x) * (100 + percent) >= percent * (n + n_x))
+        rows = np.flatnonzero(fits)
+        if len(rows):
+            both = np.bitwise_count(right[rows] & left[i]).sum(axis=1, dtype=np.int64)
+            found += [(x, y) for y in b[rows[both * (100 + percent) >= percent * (n[rows] + n_x)]]]
+    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64) if found else empty
+
+
+def _within(members: DataFrame, percent: int, rows: int) -> DataFrame:
+    """Links (a, b) of a hub's members in different components whose common part within the hub's set suffices.
+
+    Of two linked members one at least is apart from the hub's component, and their
+    sizes are in the same class or in neighbouring ones, each of which reaches to
+    100 / percent of its least.  A hub's members of one class are cut into blocks;
+    a block of those apart and a block of any are one task.
+    """
+    members = members.withColumn("sizes", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9))
+    blocks = members.groupBy("a", "sizes").agg(F.ceil(F.count("*") / rows).alias("of_any"), F.ceil(F.sum(F.col("apart").cast("int")) / rows).alias("of_apart"))
+    values = ("b", "n", "common", "root", "apart", "inside", "extra")
+    near = F.explode(F.array(F.col("sizes") - 1, F.col("sizes"), F.col("sizes") + 1)).alias("near")
+    # Those apart go to their own class's row and to its neighbours', a copy for each block that they meet there.
+    apart = members.where("apart").join(blocks.select("a", "sizes", "of_apart"), ["a", "sizes"]).select("a", near, F.pmod(F.xxhash64("b"), "of_apart").alias("i"), F.col("sizes").alias("own"), *values)
+    apart = apart.join(blocks.select("a", F.col("sizes").alias("near"), "of_any"), ["a", "near"]).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of_any") - 1))).drop("of_any")
+    # Others go to the blocks of those apart in their own and the neighbouring classes.
+    any_ = members.join(blocks.select("a", "sizes", "of_any"), ["a", "sizes"]).select("a", F.col("sizes").alias("near"), F.pmod(F.xxhash64("b"), "of_any").alias("j"), F.explode(F.array(F.col("sizes") - 1, F.col("sizes"), F.col("sizes") + 1)).alias("own"), *values)
+    any_ = any_.join(blocks.where("of_apart > 0").select("a", F.col("sizes").alias("own"), "of_apart"), ["a", "own"]).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of_apart") - 1))).drop("of_apart")
+    keys = ("a", "own", "near", "i", "j")
+    # Both sides come from one table: one gets columns of its own.
+    any_ = any_.select(*[F.col(c).alias(c) for c in (*keys, *values)])
+    return apart.groupBy(*keys).cogroup(any_.groupBy(*keys)).applyInPandas(lambda left, right: _linked_bits(left, right, percent), "a long, b long")
 
 
 def _met(listed: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -250,39 +311,50 @@ def _listed(long_pairs: DataFrame, outside) -> DataFrame:
     return values.join(shared, ["a", "value"])
 
 
-def _members_alike(long_pairs: DataFrame, percent: int, short: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) of members of one hub that may link, in different components.
+def _members_alike(long_pairs: DataFrame, percent: int, short: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Members of one hub in different components: pairs (a, b, n_a, n_b) that may link, and links (a, b).
 
     Two linked members f and y share 75 % of each.  Put the shingles outside the
     hub's set C first, in the order of their values: then the first 25 % and one of
     f and of y have their first common one among them.  If that lies outside C, they
-    meet in its list.  If it lies in C, their whole common part does, and sizes find
-    it.  A list of more than ``short`` members gives no pairs: its value joins C,
-    and its members are taken again.  After ROUNDS all that more than ``short`` of
-    those that remain share joins C, and what is left outside gives short lists.
+    meet in its list.  If it lies in C, their whole common part does, and _within()
+    finds the link.  A list of more than ``short`` members gives no pairs: its value
+    joins C, and its members are taken again.  After ROUNDS all that more than
+    ``short`` of those that remain share joins C, and what is left outside gives
+    short lists.
     """
     # Of two members in different components one at least is apart from the hub's.
-    rest = long_pairs.select("a", "b", F.col("n_b").alias("n"), "common", F.col("root_b").alias("root"), (F.col("root_a") != F.col("root_b")).alias("apart"), "outside")
-    pairs = _within(rest, percent)
+    rest = long_pairs.select("a", "b", F.col("n_b").alias("n"), "common", F.col("root_b").alias("root"), (F.col("root_a") != F.col("root_b")).alias("apart"), "outside", "inside", F.array().cast("array<bigint>").alias("extra"))
+    links = _within(rest, percent, rows)
+    pairs = None
+
+    def met(listed: DataFrame, members: DataFrame) -> None:
+        nonlocal pairs
+        found = _met(listed, members, percent)
+        pairs = found if pairs is None else pairs.unionByName(found)
+
     for _ in range(ROUNDS):
         first = written(_listed(rest, F.slice("outside", F.lit(1), (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))), "first-parts")
-        pairs = pairs.unionByName(_met(first.where(F.col("members") <= short), rest, percent))
+        met(first.where(F.col("members") <= short), rest)
         long = first.where(F.col("members") > short)
         again = written(long.select("a", "b").distinct(), "taken-again")
         if again.isEmpty():
-            return pairs
+            return pairs, links
         # The most frequent of a hub's long lists, so many at once that a row holds them.
         by_hub = Window.partitionBy("a").orderBy(F.desc("members"), "value")
         joins = long.select("a", "value", "members").distinct().withColumn("place", F.row_number().over(by_hub)).where(F.col("place") <= JOIN_AT_ONCE)
         joins = written(joins.groupBy("a").agg(F.collect_list("value").alias("moved")), "joins-hub")
         left = F.array_except("outside", "moved")
         rest = rest.join(again, ["a", "b"], "left_semi").join(broadcast_up_to(joins, BROADCAST_ROWS // 50), "a")
-        rest = written(rest.select("a", "b", "n", (F.col("common") + F.size("outside") - F.size(left)).alias("common"), "root", "apart", left.alias("outside")), "rest")
-        pairs = pairs.unionByName(_within(rest, percent))
+        taken = (F.col("common") + F.size("outside") - F.size(left)).alias("common")
+        rest = written(rest.select("a", "b", "n", taken, "root", "apart", left.alias("outside"), "inside", F.concat("extra", F.array_intersect("outside", "moved")).alias("extra")), "rest")
+        links = links.unionByName(_within(rest, percent, rows))
     whole = written(_listed(rest, F.col("outside")), "whole-parts")
-    extra = whole.where(F.col("members") > short).groupBy("a", "b").agg(F.count("*").alias("extra"))
-    rest = rest.join(extra, ["a", "b"], "left").withColumn("common", F.col("common") + F.coalesce("extra", F.lit(0)))
-    return pairs.unionByName(_met(whole.where(F.col("members") <= short), rest, percent)).unionByName(_within(rest, percent))
+    more = whole.where(F.col("members") > short).groupBy("a", "b").agg(F.collect_list("value").alias("more"))
+    more = F.coalesce("more", F.array().cast("array<bigint>")), more
+    rest = rest.join(more[1], ["a", "b"], "left").withColumns({"common": F.col("common") + F.size(more[0]), "extra": F.concat("extra", more[0])}).drop("more")
+    met(whole.where(F.col("members") <= short), rest)
+    return pairs, links.unionByName(_within(rest, percent, rows))
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
@@ -298,9 +370,15 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     return labelled(docs, **options).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, percent: int = PERCENT, short: int = SHORT, members: int = MEMBERS, heavy: int = HEAVY) -> DataFrame:
-    """near_duplicates() with the key of the row's set, null without shingles."""
-    need = sure(k, percent)
+def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, percent: int = PERCENT, short: int = SHORT, members: int = MEMBERS, heavy: int = HEAVY, bit_rows: int = BIT_ROWS, missed: float = MISSED) -> DataFrame:
+    """near_duplicates() with the key of the row's set, null without shingles.
+
+    With ``missed`` 0 no chance is taken: every shingle is retained, which costs an
+    index of all of them; then what is sure of sets below the sketch holds for all.
+    """
+    if missed == 0:
+        k = ALL
+    need = sure(k, percent, missed) if missed else 0
     spark = docs.sparkSession
     text = F.col("text").cast("string")
     # doc_id and the text's hash find a row again, even where many rows share a doc_id or have none.
@@ -351,7 +429,11 @@ def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, percent: int =
         of_hubs = dealt.select("a", "block").distinct().select(F.col("a").alias("node"), "a", "block", *[F.lit(None).cast(t).alias(c) for c, t in (("b", "long"), ("long", "boolean"), ("n_a", "long"), ("n_b", "long"))])
         with_sets = of_hubs.unionByName(dealt.withColumn("node", F.col("b"))).join(full, "node").drop("node")
         by_hub = with_sets.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
-        return written(by_hub.mapInArrow(_verify(k, need, percent), "a long, b long, long boolean, n_a long, n_b long, common long, linked boolean, outside array<long>"), name)
+        out = written(by_hub.mapInArrow(_verify(k, need, percent), "a long, b long, long boolean, n_a long, n_b long, common long, linked boolean, outside array<long>, inside binary"), name)
+        # What was made for this comparison alone is not read again.
+        for table in (texts, full, dealt):
+            discard(table)
+        return out
 
     star_pairs = verified(stars, "star_pairs")
     links = star_pairs.where("linked").select("a", "b")
@@ -370,11 +452,11 @@ def labelled(docs: DataFrame, *, width: int = WIDTH, k: int = K, percent: int =
     of_long = written(rooted(rooted(star_pairs.where("long"), "a", "root_a"), "b", "root_b"), "long_pairs")
     several = written(of_long.groupBy("a").agg(F.min("root_b").alias("low"), F.max("root_b").alias("high")).where("low <> high").select("a"), "open-hubs")
     long_pairs = of_long.join(broadcast_up_to(several, BROADCAST_ROWS), "a", "left_semi")
-    some = _members_alike(long_pairs, percent, short)
+    some, inside = _members_alike(long_pairs, percent, short, bit_rows)
 
     more = across.unionByName(some).where(_sizes_fit(percent)).distinct().withColumn("long", F.lit(False))
     later = verified(written(more, "pairs"), "later_pairs").where("linked").select("a", "b")
-    root = written(components(links.unionByName(later), heavy=heavy), "roots")
+    root = written(components(links.unionByName(later).unionByName(inside), heavy=heavy), "roots")
 
     of_node = nodes.select("key", "node", "low").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     labels = of_node.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -390,6 +472,7 @@ def without_near_duplicates(docs: DataFrame, *, width: int = WIDTH, **options) -
     Of rows that share doc_id and set one stays.  A doc_id with several rows is
     judged row by row, by the set of its text; so are rows without a doc_id.
     """
+    docs, said = neutral(docs, "doc_id", "text"), docs.columns
     names, schema = docs.columns, docs.schema
     verdicts = written(labelled(docs, width=width, **options).select("doc_id", "key", "kept"), "verdicts")
     by_id = verdicts.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
@@ -397,7 +480,7 @@ def without_near_duplicates(docs: DataFrame, *, width: int = WIDTH, **options) -
     left = docs.join(written(by_id.where(~several & ~F.col("kept")).select("doc_id"), "gone"), "doc_id", "left_anti").select(names)
     shared = written(by_id.where(several).select(F.col("doc_id").alias("m_id")), "shared-ids")
     if shared.isEmpty():
-        return left
+        return left.toDF(*said)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -410,7 +493,7 @@ def without_near_duplicates(docs: DataFrame, *, width: int = WIDTH, **options) -
     bad = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("b_id"), F.col("key").alias("b_key")).distinct()
     rows = rows.join(bad, F.col("doc_id").eqNullSafe(F.col("b_id")) & F.col("m_key").eqNullSafe(F.col("b_key")), "left_anti")
     once = rows.where("m_key is not null").dropDuplicates(["doc_id", "m_key"]).unionByName(rows.where("m_key is null"))
-    return left.join(shared, of_shared, "left_anti").unionByName(once.select(names))
+    return left.join(shared, of_shared, "left_anti").unionByName(once.select(names)).toDF(*said)
 
 
 #: The same by all pairs that share a shingle.

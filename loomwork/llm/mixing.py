@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared_folder import broadcast_up_to, written
+from .shared_folder import broadcast_up_to, neutral, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in code point order, repeating; null comes last.
@@ -217,6 +217,7 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     n_chars, where it is a column, follows.  A null source is a source; rows that
     share a doc_id are rows of their own.  Reruns agree.  An empty table stays empty.
     """
+    docs, said = neutral(docs, "doc_id", "text", "source", "n_chars"), docs.columns
     names = docs.columns
     mix = plan(written(_sized(docs), "sizes"), **options)
     # A row's text goes through the shuffle once, in the row.
@@ -231,4 +232,4 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     taken = F.when(part.isNotNull(), F.concat(passes, F.array(part))).otherwise(passes)
     rows = rows.select("m_row", F.explode(taken).alias("m_part")).withColumn("m_text", F.coalesce("m_part", text))
     new = {"text": F.col("m_text"), "n_chars": F.length("m_text").cast("long")}
-    return rows.select(*[new[c].alias(c) if c in new else F.col("m_row")[c].alias(c) for c in names])
+    return rows.select(*[new[c].alias(c) if c in new else F.col("m_row")[c].alias(c) for c in names]).toDF(*said)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .crf import Chains, train, viterbi
-from .shared_folder import spread
+from .shared_folder import neutral, spread
 from .textbytes import in_pieces
 
 KINDS = ("email", "ip", "card", "phone")
@@ -378,6 +378,7 @@ def without_pii(docs: DataFrame) -> DataFrame:
     empty.  text must be a column of strings.  An empty table stays empty.
     """
     model = _trained(docs.sparkSession)
+    docs, said = neutral(docs, "text"), docs.columns
     names = docs.columns
     place = names.index("text")
 
@@ -391,4 +392,4 @@ def without_pii(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     fields = [T.StructField("text", T.StringType()) if f.name == "text" else f for f in docs.schema.fields]
-    return docs.mapInArrow(run, T.StructType(fields))
+    return docs.mapInArrow(run, T.StructType(fields)).toDF(*said)

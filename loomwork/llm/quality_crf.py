@@ -18,17 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .crf import Chains, forward_backward, train
-from .shared_folder import broadcast_up_to, spread, written
+from .labelled import FOLDS, held_out, sample
+from .shared_folder import neutral, spread
 from .textbytes import flat_bytes, in_pieces, word_bounds, word_hashes
 
 #: The classifier is fitted on at most so many labelled documents of each class.
 SAMPLE_PER_CLASS = 800
-#: The part of the rows that no model sees: crc32(doc_id) mod FOLDS is 0.
-FOLDS = 5
 THRESHOLD = 0.3
+#: Lines of a document that the fit looks at, spread over its length; scores look at all.
+SAMPLE_LINES = 2_000
 #: Texts that are taken apart at once: a line has some 700 bytes of features, however short it is.
 PIECE_BYTES = 500_000
-BROADCAST_ROWS = 1_000_000
 
 _KINDS = np.zeros(256, dtype=np.uint8)
 for _kind, _bytes in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,;:'\"()-", b"!?", b"|", b"#$%&*@^~_=+<>{}[]\\/`", b" \t\r\x0b\x0c"), start=1):
@@ -139,47 +139,44 @@ def fit(features: np.ndarray, length: np.ndarray, lines: np.ndarray, good: np.nd
     return QualityModel(w, a, float(beta[0]), float(beta[1]))
 
 
-def held_out(doc_id) -> F.Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0
+def _spread(lines: int) -> np.ndarray:
+    """Places of at most SAMPLE_LINES of so many lines: all, or stretches of 100 at even distances."""
+    if lines <= SAMPLE_LINES:
+        return np.arange(lines)
+    starts = np.linspace(0, lines - 100, SAMPLE_LINES // 100).astype(np.int64)
+    return np.unique((starts[:, None] + np.arange(100)).ravel())
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_PER_CLASS) -> QualityModel | None:
     """A model from the labelled rows outside the held-out part; None if a class has no row there.
 
     The sample is the rows of smallest hash in each class, at most ``per_class``
-    of each, whatever the size of the tables; their whole texts are used.
+    of each, whatever the size of the tables; of a document of more than
+    SAMPLE_LINES lines stretches of 100 lines are used, spread over its length, so that what reaches the driver is bounded.
     """
-    rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
-    counts = {r.quality: r.n for r in rows.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    if len(counts) < 2:
+    found = sample(docs, labels, "quality", per_class)
+    if found is None:
         return None
-    rows = rows.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("quality").alias("other")).where("quality = other")
-    order = F.xxhash64("doc_id", F.lit(3))
-    # Labelled rows can lack a document, so the bound is put on those that have one.
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(broadcast_up_to(rows, BROADCAST_ROWS), "doc_id").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    sample = None
-    for quality in (0, 1):
-        part = known.where(F.col("quality") == quality).orderBy(order, "doc_id").limit(per_class)
-        sample = part if sample is None else sample.unionByName(part)
-    sample = written(sample, "quality-sample")
+    chosen, share = found
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in in_pieces(batch, PIECE_BYTES):
                 x, length, lines = line_features(piece.column("text"))
                 x = x.astype(np.float32)
-                data = [x[a:b].tobytes() for a, b in zip(lines, lines[1:], strict=False)]
-                sizes = [length[a:b].astype("<i8").tobytes() for a, b in zip(lines, lines[1:], strict=False)]
+                some = [a + _spread(b - a) for a, b in zip(lines.tolist(), lines[1:].tolist(), strict=False)]
+                data = [x[at].tobytes() for at in some]
+                sizes = [length[at].astype("<i8").tobytes() for at in some]
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("quality"), pa.array(data, pa.binary()), pa.array(sizes, pa.binary())], names=["doc_id", "quality", "x", "length"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     found = texts.select("doc_id", "quality", "text").mapInArrow(features, "doc_id long, quality int, x binary, length binary").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
     if len({r.quality for r in found}) < 2:
         return None
     lengths = [np.frombuffer(r.length, "<i8") for r in found]
     x = np.concatenate([np.frombuffer(r.x, np.float32).reshape(len(n), -1) for r, n in zip(found, lengths, strict=True)]).astype(np.float64)
     lines = np.concatenate(([0], np.cumsum([len(n) for n in lengths])))
-    return fit(x, np.concatenate(lengths), lines, np.array([r.quality for r in found]), counts[1] / (counts[0] + counts[1]))
+    return fit(x, np.concatenate(lengths), lines, np.array([r.quality for r in found]), share)
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: QualityModel | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
@@ -213,13 +210,14 @@ def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD
     that share a doc_id, or have none, are judged row by row.  If a class has no
     labelled row, all scores are 0.5 and every row stays.  An empty table stays empty.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, per_class=per_class))
+    rows = neutral(docs, "doc_id", "text")
+    shared = docs.sparkSession.sparkContext.broadcast(learn(rows, labels, per_class=per_class))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, score in _scored(batches, shared.value):
             yield piece.filter(pa.array(score >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)
 
 
 def crc_fold(doc_id: int) -> int:

@@ -11,21 +11,23 @@ from pyspark.sql import functions as F
 from loomwork import scratch
 from loomwork.scratch import shared_path
 
-__all__ = ["broadcast_up_to", "discard", "open_fs", "publish", "shared_path", "spread", "written"]
+__all__ = ["broadcast_up_to", "discard", "neutral", "open_fs", "publish", "shared_path", "spread", "written"]
 
-#: Bytes of the Arrow batches that Python workers get while a table is written.
-BATCH_BYTES = 8 << 20
+#: Bytes of the Arrow batches that Python workers get while a table is written, and rows that the Parquet reader decodes at once.
+BATCH_BYTES, READ_ROWS = 8 << 20, 512
 
 
 @contextmanager
 def _batches_of(spark: SparkSession, most_bytes: int) -> Iterator[None]:
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(most_bytes))
+    settings = {"spark.sql.execution.arrow.maxBytesPerBatch": most_bytes, "spark.sql.parquet.columnarReaderBatchSize": READ_ROWS}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, str(value))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def written(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
@@ -48,6 +50,11 @@ def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def neutral(docs: DataFrame, *own: str) -> DataFrame:
+    """``docs`` with its columns but ``own`` renamed by place, so that no name of theirs can clash or need quotes; toDF(*docs.columns) brings them back."""
+    return docs.toDF(*[c if c in own else f"_{k}" for k, c in enumerate(docs.columns)])
+
+
 def open_fs(uri: str):
     """The pyarrow file system of a URI and the path in it; works in executors."""
     from pyarrow import fs

@@ -63,7 +63,7 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def in_pieces(batch: pa.RecordBatch, most_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def in_pieces(batch: pa.RecordBatch, most_bytes: int = 500_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts together stay near ``most_bytes``; one longer text is a slice of its own."""
     ends = flat_bytes(batch.column("text"))[1][1:]
     start = 0

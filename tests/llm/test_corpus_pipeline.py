@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -56,3 +57,17 @@ def test_stages_take_odd_and_empty_documents(spark, odd_docs, no_docs):
             docs = corpus_pipeline.written(stage(spark, docs, SF), f"odd-{name}")
             assert name == "encoding" or docs.columns == odd_docs.columns
         assert start is odd_docs or docs.count() == 0
+
+
+def test_stages_take_any_names_of_columns(spark, odd_docs):
+    own = ("m_id", "m_key", "b_id", "m_row", "x.y", "place", "n", "key", "hash", "`q`", "a b")
+    docs = odd_docs.select("doc_id", "text", "source", "n_chars").toDF("doc_id", "text", "source", "n_chars")
+    wide = docs.select("*", *[F.lit(c).alias(c) for c in own])
+    plain, docs = docs, wide
+    for name, stage in corpus_pipeline.STAGES:
+        docs, plain = (corpus_pipeline.written(stage(spark, x, SF), f"names-{name}") for x in (docs, plain))
+        if name != "encoding":
+            assert docs.columns == wide.columns
+            assert all(tuple(r)[4:] == own for r in docs.collect())
+        rows = [sorted(str(tuple(r)[:4]) for r in x.collect()) for x in (docs, plain)]
+        assert rows[0] == rows[1]

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 
 from loomwork.llm import queries
-from loomwork.llm.bottomk_dedup import _estimated, components, near_duplicates, sure, without_near_duplicates
+from loomwork.llm.bottomk_dedup import _bits, _estimated, _within, components, near_duplicates, sure, without_near_duplicates
 from loomwork.llm.textbytes import flat_bytes, word_bounds, word_hashes
 
 from .conftest import SF
@@ -165,3 +165,38 @@ def test_rows_that_stay(spark, odd_docs, no_docs):
     stay = without_near_duplicates(odd_docs)
     assert stay.columns == odd_docs.columns and stay.where("doc_id = 4").count() == 2
     assert without_near_duplicates(no_docs).count() == 0
+
+
+def test_members_within_a_hub_meet_as_bits(spark):
+    # A hub of 300 shingles; members hold parts of it, and values beyond it that have joined.
+    rng = np.random.default_rng(6)
+    members = []
+    for b in range(120):
+        if b % 3 and members:
+            own = members[rng.integers(len(members))][1] ^ (rng.random(300) < rng.choice([0.02, 0.2]))
+        else:
+            own = rng.random(300) < rng.choice([0.2, 0.5, 0.9])
+        extra = sorted(int(v) for v in rng.choice(40, rng.integers(0, 8), replace=False))
+        beyond = int(rng.integers(0, 5))
+        members.append((b, own, extra, int(own.sum()) + len(extra) + beyond, b % 7))
+    rows = [(hub, b, n, int(own.sum()) + len(extra), root, root != 0, _bits(np.flatnonzero(own), 300), extra) for hub in (1000, 1001) for b, own, extra, n, root in members]
+    table = spark.createDataFrame(rows, "a long, b long, n long, common long, root long, apart boolean, inside binary, extra array<long>")
+    want = set()
+    for x in members:
+        for y in members:
+            both = int((x[1] & y[1]).sum()) + len(set(x[2]) & set(y[2]))
+            if x[0] < y[0] and x[4] != y[4] and both * 175 >= 75 * (x[3] + y[3]):
+                want.add((x[0], y[0]))
+    for block in (1000, 7):
+        links = [(min(r), max(r)) for r in _within(table, 75, block).collect()]
+        assert set(links) == want and len(links) == 2 * len(want) and len(want) > 20
+
+
+def test_no_chance_is_taken_if_none_is_wanted(spark):
+    pick = random.Random(4)
+    rows = []
+    for i in range(60):
+        words = [f"w{pick.randrange(10_000)}" for _ in range(pick.choice([8, 90, 200]))]
+        rows.append((2 * i, " ".join(words)))
+        rows.append((2 * i + 1, " ".join(words[: len(words) * pick.choice([70, 76, 90]) // 100])))
+    assert found(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), missed=0)) == brute(rows)
