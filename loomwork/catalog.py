@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loomwork.functions import parse as P
 from loomwork.functions import text as X
 from loomwork.operators.constraints import Constraints
-from loomwork.operators.link import LinkConfig, find_duplicates, link
+from loomwork.operators.link import LinkConfig, duplicate_classes, find_duplicates, link
 from loomwork.operators.lookups import first_spelling, in_order, resolve, vocabulary, with_ids
 from loomwork.operators.upsert import upsert
 from loomwork.plans import analytics as A
@@ -388,6 +388,20 @@ def _(t: Tables) -> DataFrame:
     return find_duplicates(with_ids(names, "last_name", "first_name"), SQL_SCORER).withColumn("score", F.round("score", 6))
 
 
+@query(
+    "fuzzy_duplicate_classes",
+    """WITH c AS (SELECT min(p_partkey) AS class_id, upper(split_part(p_name, ' ', 1)) AS l, upper(split_part(p_name, ' ', 2)) AS f, count(*) AS members FROM part GROUP BY 2, 3),
+ s AS (SELECT a.class_id FROM c a JOIN c b ON a.class_id <> b.class_id WHERE 0.6::DOUBLE * jaro_winkler_similarity(a.l, b.l) + 0.4::DOUBLE * jaro_winkler_similarity(a.f, b.f) >= 0.92)
+ SELECT c.class_id, l AS last_name, f AS first_name, members, (SELECT count(*) FROM s WHERE s.class_id = c.class_id) AS links FROM c""",
+)
+def _(t: Tables) -> DataFrame:
+    """All parts by the first two words of their names: a class for each normal form, and how many others it is like."""
+    words = F.split("p_name", " ")
+    found = duplicate_classes(t.part.select(F.col("p_partkey").alias("id"), words[0].alias("last_name"), words[1].alias("first_name")), SQL_SCORER)
+    linked = found.links.select(F.explode(F.array("class_1", "class_2")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
+    return found.classes.join(linked, "class_id", "left").select("class_id", "last_name", "first_name", "members", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+
+
 @query("fuzzy_outcome_summary", _FULL_SQL + " SELECT outcome, count(*) AS n FROM a GROUP BY outcome")
 def _(t: Tables) -> DataFrame:
     return link(*_typed(t, True), SQL_SCORER).groupBy("outcome").agg(F.count("*").alias("n"))
