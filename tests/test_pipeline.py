@@ -282,3 +282,26 @@ def test_stream_loads_each_row_once(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(f"file://{tmp_path}/in")
         load_stream(stream, store, "letters", "names", "id long, name string", f"file://{tmp_path}/state").awaitTermination()
     assert sorted((r.id, r.name) for r in store.read("names", "id long, name string").collect()) == [(1, "A"), (2, "B"), (3, "C")]
+
+
+def test_many_batches_leave_few_versions_and_no_stage(spark, tmp_path, monkeypatch):
+    from loomwork.streaming import incremental
+
+    monkeypatch.setattr(incremental, "MOST_VERSIONS", 2)
+    store = TableStore(spark, f"file://{tmp_path}/store")
+    schema = "id long, name string"
+    for k in range(5):
+        rows = [(f"{i}", f"h{i}", f"n{i}") for i in range(k * 3, k * 3 + 5)]
+        spark.createDataFrame(rows, "source_pk string, payload_hash string, name string").write.mode("append").parquet(f"file://{tmp_path}/in")
+        stream = spark.readStream.schema("source_pk string, payload_hash string, name string").parquet(f"file://{tmp_path}/in")
+        load_stream(stream, store, "letters", "names", schema, f"file://{tmp_path}/state").awaitTermination()
+        assert all(len(v) <= 3 for v in store._newest()[1].values())
+        assert not (tmp_path / "store" / "_stage").exists()
+        for table in ("names", "migration_log"):
+            assert len(list((tmp_path / "store" / table).iterdir())) <= 3
+    names = store.read("names", schema).collect()
+    assert sorted(r.name for r in names) == sorted(f"n{i}" for i in range(17)) and sorted(r.id for r in names) == list(range(1, 18))
+    assert store.next_id("names", schema) == 17 == store._newest()[2]["names"]
+    # A table whose rows came without a mark is looked at once more.
+    store.append("names", spark.createDataFrame([(40, "x")], schema))
+    assert store.next_id("names", schema) == 40
