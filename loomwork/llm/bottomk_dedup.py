@@ -282,9 +282,11 @@ def _within(members: DataFrame, percent: int, rows: int) -> DataFrame:
     100 / percent of its least.  A hub's members of one class are cut into blocks;
     a block of those apart and a block of any are one task.
     """
-    members = members.withColumn("sizes", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9))
-    blocks = members.groupBy("a", "sizes").agg(F.ceil(F.count("*") / rows).alias("of_any"), F.ceil(F.sum(F.col("apart").cast("int")) / rows).alias("of_apart"))
     values = ("b", "n", "common", "root", "apart", "inside", "extra")
+    # Each step is written: one plan of all of them would fill the driver.
+    members = written(members.select("a", *values, F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).alias("sizes")), "bits")
+    blocks = members.groupBy("a", "sizes").agg(F.ceil(F.count("*") / rows).alias("of_any"), F.ceil(F.sum(F.col("apart").cast("int")) / rows).alias("of_apart"))
+    blocks = written(blocks, "bit-blocks")
     near = F.explode(F.array(F.col("sizes") - 1, F.col("sizes"), F.col("sizes") + 1)).alias("near")
     # Those apart go to their own class's row and to its neighbours', a copy for each block that they meet there.
     apart = members.where("apart").join(blocks.select("a", "sizes", "of_apart"), ["a", "sizes"]).select("a", near, F.pmod(F.xxhash64("b"), "of_apart").alias("i"), F.col("sizes").alias("own"), *values)
@@ -295,7 +297,9 @@ def _within(members: DataFrame, percent: int, rows: int) -> DataFrame:
     keys = ("a", "own", "near", "i", "j")
     # Both sides come from one table: one gets columns of its own.
     any_ = any_.select(*[F.col(c).alias(c) for c in (*keys, *values)])
-    return apart.groupBy(*keys).cogroup(any_.groupBy(*keys)).applyInPandas(lambda left, right: _linked_bits(left, right, percent), "a long, b long")
+    links = written(apart.groupBy(*keys).cogroup(any_.groupBy(*keys)).applyInPandas(lambda left, right: _linked_bits(left, right, percent), "a long, b long"), "bit-links")
+    discard(members)
+    return links
 
 
 def _met(listed: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -330,7 +334,7 @@ def _members_alike(long_pairs: DataFrame, percent: int, short: int, rows: int) -
 
     def met(listed: DataFrame, members: DataFrame) -> None:
         nonlocal pairs
-        found = _met(listed, members, percent)
+        found = written(_met(listed, members, percent), "met")
         pairs = found if pairs is None else pairs.unionByName(found)
 
     for _ in range(ROUNDS):

@@ -11,7 +11,7 @@ import pyarrow as pa
 from loomwork.llm import queries
 from loomwork.llm.crf import Chains, forward_backward, viterbi
 from loomwork.llm.pii_crf import KINDS, PiiModel, base_spans, find_all, find_pii, labelled_table, luhn, redact, without_pii
-from loomwork.llm.quality_crf import accepted, crc_fold, line_features, quality_scores
+from loomwork.llm.quality_crf import SAMPLE_LINES, _spread, accepted, crc_fold, learn, line_features, quality_scores
 
 from .conftest import SF
 
@@ -67,6 +67,16 @@ def test_quality_of_odd_documents(spark, odd_docs, no_docs, table):
     assert kept.columns == odd_docs.columns and kept.count() <= odd_docs.count()
 
 
+def test_the_sample_of_a_document_is_bounded(spark):
+    for lines in (1, SAMPLE_LINES, SAMPLE_LINES + 1, 5_000_000):
+        at = _spread(lines)
+        assert len(at) == len(set(at.tolist())) <= SAMPLE_LINES and at[0] == 0 and at[-1] == lines - 1
+        assert lines > SAMPLE_LINES or len(at) == lines
+    docs = spark.createDataFrame([(1, "good line of plain words\n" * 30_000), (2, "$$$ ### 123\n" * 40)], "doc_id long, text string")
+    model = learn(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
+    assert model is not None and np.isfinite(model.slope)
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
