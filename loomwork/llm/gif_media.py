@@ -46,7 +46,10 @@ def _widths(least: int, n: int) -> np.ndarray:
     return np.clip(np.ceil(np.log2(free + 1)).astype(np.int64), least + 1, 12)
 
 
-_STARTS = {least: np.concatenate(([0], np.cumsum(_widths(least, MOST_CODES + 2)))) for least in range(2, 9)}
+_SIZES = {least: _widths(least, MOST_CODES + 2) for least in range(2, 9)}
+_STARTS = {least: np.concatenate(([0], np.cumsum(_SIZES[least]))) for least in range(2, 9)}
+_FULL_SIZES = np.full(MOST_CODES, 12)
+_FULL_STARTS = np.arange(MOST_CODES + 1) * 12
 
 
 def _strings(codes: np.ndarray, least: int) -> bytes:
@@ -62,7 +65,7 @@ def _strings(codes: np.ndarray, least: int) -> bytes:
     place = np.arange(n)
     literal = codes < clear
     named = codes - (clear + 2)
-    if (named[~literal] >= np.minimum(place, MOST_CODES - clear - 2)[~literal]).any():
+    if (~literal & (named >= np.minimum(place, MOST_CODES - clear - 2))).any():
         raise GifError("a code that the table does not have")
     parent = np.where(literal, place, named)
     hops = (~literal).astype(np.int64)
@@ -72,13 +75,10 @@ def _strings(codes: np.ndarray, least: int) -> bytes:
     lengths = hops + 1
     starts = np.cumsum(lengths) - lengths
     total = int(lengths.sum())
-    owner = np.repeat(place, lengths)
-    source = np.arange(total)
-    copied = ~literal[owner]
-    source[copied] += (starts[np.maximum(named, 0)] - starts)[owner[copied]]
+    source = np.arange(total) + np.repeat(np.where(literal, 0, starts[np.maximum(named, 0)] - starts), lengths)
     while True:
         further = source[source]
-        if np.array_equal(further, source):
+        if (further == source).all():
             break
         source = further
     samples = np.zeros(total, dtype=np.uint8)
@@ -89,8 +89,8 @@ def _strings(codes: np.ndarray, least: int) -> bytes:
 def lzw_decode(data: bytes, least: int, pixels: int) -> bytes:
     """Samples of a code stream with ``least`` bits a sample; stops at the end code or after ``pixels`` samples."""
     clear, end = 1 << least, (1 << least) + 1
-    starts = _STARTS[least]
     stream = np.frombuffer(data + b"\0\0\0\0", dtype=np.uint8).astype(np.uint32)
+    windows = stream[:-2] | stream[1:-1] << np.uint32(8) | stream[2:] << np.uint32(16)
     bits, at, made = len(data) * 8, 0, 0
     out: list[bytes] = []
     segment: list[np.ndarray] = []
@@ -104,13 +104,10 @@ def lzw_decode(data: bytes, least: int, pixels: int) -> bytes:
 
     while made < pixels:
         # As many codes as there may be up to the next clear code; 12 bits each once the table is full.
-        places = at + (starts[:-1] if not segment else np.arange(MOST_CODES) * 12)
-        sizes = np.diff(starts) if not segment else np.full(MOST_CODES, 12)
-        fits = int(np.searchsorted(places + sizes, bits, side="right"))
-        places, sizes = places[:fits], sizes[:fits]
-        byte = places >> 3
-        window = stream[byte] | stream[byte + 1] << np.uint32(8) | stream[byte + 2] << np.uint32(16)
-        codes = ((window >> (places & 7).astype(np.uint32)) & ((1 << sizes) - 1).astype(np.uint32)).astype(np.int64)
+        starts, sizes = (_STARTS[least], _SIZES[least]) if not segment else (_FULL_STARTS, _FULL_SIZES)
+        fits = int(np.searchsorted(starts[1:], bits - at, side="right"))
+        places, sizes = at + starts[:fits], sizes[:fits]
+        codes = (windows[places >> 3].astype(np.int64) >> (places & 7)) & ((1 << sizes) - 1)
         stops = np.flatnonzero((codes == clear) | (codes == end))
         n = int(stops[0]) if len(stops) else fits
         if n:
@@ -131,40 +128,44 @@ def lzw_decode(data: bytes, least: int, pixels: int) -> bytes:
 def lzw_encode(samples: bytes, least: int = 8) -> bytes:
     """A code stream with a clear code at its start and whenever the table is full."""
     clear = 1 << least
-    room = MOST_CODES - clear - 2
-    codes: list[int] = [clear]
-    widths = [np.array([least + 1])]
+    # Codes of the table are kept as the upper bits of a key, whose lower byte is the next sample.
+    first, full = clear + 2 << 8, MOST_CODES << 8
+    codes: list[int] = [clear << 8]
+    ends = []
     if not samples:
-        codes.append(clear + 1)
-        widths.append(_widths(least, 1))
+        codes.append(clear + 1 << 8)
     else:
         table: dict[int, int] = {}
-        known, emit, segment = table.get, codes.append, len(codes)
-        prefix, left = samples[0], room
-        free = clear + 2
+        emit = codes.append
+        prefix, free = samples[0] << 8, first
         for sample in samples[1:]:
-            key = prefix << 8 | sample
-            code = known(key)
-            if code is not None:
-                prefix = code
+            key = prefix | sample
+            if key in table:
+                prefix = table[key]
                 continue
             emit(prefix)
-            prefix = sample
+            prefix = sample << 8
             table[key] = free
-            free += 1
-            left -= 1
-            if not left:
-                emit(clear)
-                widths.append(_widths(least, len(codes) - segment))
-                segment = len(codes)
+            free += 256
+            if free == full:
+                emit(clear << 8)
+                ends.append(len(codes))
                 table.clear()
-                free, left = clear + 2, room
+                free = first
         emit(prefix)
-        emit(clear + 1)
-        widths.append(_widths(least, len(codes) - segment))
-    values, sizes = np.array(codes, dtype=np.uint16), np.concatenate(widths)
-    bits = np.unpackbits(values.view(np.uint8).reshape(-1, 2), axis=1, bitorder="little")
-    return np.packbits(bits[np.arange(16) < sizes[:, None]], bitorder="little").tobytes()
+        emit(clear + 1 << 8)
+    values = np.fromiter(codes, dtype=np.int64, count=len(codes)) >> 8
+    segments = np.diff([1, *ends, len(codes)])
+    sizes = np.concatenate([[least + 1], *(_SIZES[least][:n] for n in segments)])
+    # A code lies in three bytes at most; codes share no bit, so sums put them together.
+    at = np.cumsum(sizes) - sizes
+    n_bytes = int(at[-1] + sizes[-1] + 7) >> 3
+    values <<= at & 7
+    at >>= 3
+    out = np.zeros(n_bytes + 2)
+    for k in range(3):
+        out[k : k + n_bytes] += np.bincount(at, weights=values >> 8 * k & 255, minlength=n_bytes)
+    return out[:n_bytes].astype(np.uint8).tobytes()
 
 
 @dataclass
@@ -203,19 +204,19 @@ class Gif:
         if (right - left) * (bottom - top) > MOST_PIXELS:
             raise GifError("a canvas of too many pixels")
         canvas = np.zeros((bottom - top, right - left, 4), dtype=np.uint8)
+        # A pixel as one number.
+        pixels = canvas.view(np.uint32)[:, :, 0] if canvas.size else np.zeros(canvas.shape[:2], dtype=np.uint32)
         for frame in self.frames:
             rows, columns = frame.indices.shape
             y, x = max(frame.top - top, 0), max(frame.left - left, 0)
             inside = frame.left < self.width and frame.top < self.height
-            part = canvas[y : y + rows * inside, x : x + columns * inside]
+            part = pixels[y : y + rows * inside, x : x + columns * inside]
             indices = frame.indices[: part.shape[0], : part.shape[1]]
             saved = part.copy() if frame.disposal == PREVIOUS else None
-            if frame.transparent is None:
-                part[:, :, :3], part[:, :, 3] = frame.palette[indices], 255
-            else:
-                seen = indices != frame.transparent
-                part[seen, :3] = frame.palette[indices[seen]]
-                part[seen, 3] = 255
+            colours = np.full((len(frame.palette), 4), 255, dtype=np.uint8)
+            colours[:, :3] = frame.palette
+            drawn = colours.view(np.uint32)[:, 0][indices]
+            np.copyto(part, drawn, where=True if frame.transparent is None else indices != frame.transparent)
             yield canvas
             if frame.disposal == BACKGROUND:
                 part[:] = 0
@@ -315,8 +316,11 @@ def histogram(canvas: np.ndarray) -> np.ndarray:
     """Drawn pixels in each of 64 colours: four levels of red, green and blue."""
     pixels = canvas.reshape(-1, 4)
     pixels = pixels[pixels[:, 3] > 0] if not pixels[:, 3].all() else pixels
-    levels = pixels[:, :3] >> 6
-    return np.bincount(levels[:, 0] << 4 | levels[:, 1] << 2 | levels[:, 2], minlength=64)
+    if not len(pixels):
+        return np.zeros(64, dtype=np.int64)
+    colours = np.ascontiguousarray(pixels).view("<u4")[:, 0]
+    # The upper two bits of red, green and blue.
+    return np.bincount(colours >> 2 & 48 | colours >> 12 & 12 | colours >> 22 & 3, minlength=64)
 
 
 def payload_of(text: str) -> bytes:
@@ -394,6 +398,24 @@ def text_media(docs: DataFrame, *, with_media: bool = False, delta: bool = False
     return docs.mapInArrow(run, MEDIA + ", media binary" * with_media)
 
 
+def text_gifs(docs: DataFrame, *, delta: bool = False) -> DataFrame:
+    """(doc_id, media): the GIFs of text_media(), which are not read back here; for those who read them anyway."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (piece for whole in batches for piece in in_pieces(whole)):
+            ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
+            first, size, media = 0, 0, []
+            for k, text in enumerate(texts):
+                media.append(gif_of(payload_of(text or ""), delta=delta))
+                size += len(media[-1])
+                if size > 16_000_000 or k + 1 == len(texts):
+                    yield pa.RecordBatch.from_arrays([ids[first : k + 1], pa.array(media, pa.binary())], names=["doc_id", "media"])
+                    first, size, media = k + 1, 0, []
+
+    docs = spread(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.mapInArrow(run, "doc_id long, media binary")
+
+
 FRAMES = "doc_id long, frame int, start_ms long, duration_ms long, left int, top int, width int, height int, disposal int, transparent int, histogram array<long>, error string"
 
 

@@ -45,9 +45,9 @@ def op4_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gif_timed_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The frames of operator 4's GIFs, each drawing what has changed, with their times and colour histograms."""
-    from .gif_media import text_media, timed_frames
+    from .gif_media import text_gifs, timed_frames
 
-    frames = timed_frames(text_media(_table(spark, sf_dir, "documents"), with_media=True, delta=True))
+    frames = timed_frames(text_gifs(_table(spark, sf_dir, "documents"), delta=True))
     return frames.withColumn("histogram", F.array_join(frames["histogram"].cast("array<string>"), " "))
 
 

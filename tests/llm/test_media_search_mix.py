@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomwork.llm import queries
-from loomwork.llm.gif_media import BACKGROUND, KEEP, PALETTE, PREVIOUS, Frame, GifError, decode_gif, encode_gif, gif_of, histogram, lzw_decode, lzw_encode, payload_of, text_media, timed_frames
+from loomwork.llm.gif_media import BACKGROUND, KEEP, PALETTE, PREVIOUS, Frame, GifError, decode_gif, encode_gif, gif_of, histogram, lzw_decode, lzw_encode, payload_of, text_gifs, text_media, timed_frames
 from loomwork.llm.kmeans_tree import RECALL, Tree, nearest, unit
 from loomwork.llm.mixing import mix_documents, mix_quotas, sainte_lague, targets
 from loomwork.llm.preference import parroting, preference_pairs
@@ -261,6 +261,22 @@ def test_screens_and_frames_beyond_bounds():
     assert [c.size for c in outside.canvases()] == [0]
 
 
+def test_gifs_for_frames_are_decoded_once(spark, odd_docs, no_docs):
+    assert "payload_sha256" not in queries.gif_timed_frames(spark, SF)._jdf.queryExecution().toString()
+    for delta in (False, True):
+        want = text_media(odd_docs, with_media=True, delta=delta).select("doc_id", "media").collect()
+        assert sorted(text_gifs(odd_docs, delta=delta).collect(), key=str) == sorted(want, key=str)
+    assert text_gifs(no_docs).count() == 0
+
+
+def test_codes_of_any_number_are_packed_and_read(spark):
+    pick = np.random.default_rng(4)
+    for n in (0, 1, 2, 255, 3836, 3837, 3838, 3839, 3840, 7676, 12_288):
+        for least, colours in ((8, 256), (8, 3), (4, 16), (2, 4)):
+            samples = pick.integers(0, colours, n, dtype=np.uint8).tobytes()
+            assert lzw_decode(lzw_encode(samples, least), least, n) == samples
+
+
 def test_timed_frames_of_changes_show_the_payload(spark):
     got = queries.gif_timed_frames(spark, SF).collect()
     whole = {r.doc_id: r for r in queries.op4_gif_media(spark, SF).collect()}
