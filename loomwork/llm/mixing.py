@@ -18,6 +18,7 @@ import math
 import random
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,13 +98,18 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-SOURCE_SCHEMA = "m_source string, m_no int, m_shards int, m_parts int, source_size long, target double"
-SHARD_SCHEMA = "m_no int, m_shard int, m_words long, m_blocks long, m_passes long, m_extra long, m_step long, m_shift long"
+SOURCE_SCHEMA = pa.schema({"m_source": pa.string(), "m_no": pa.int32(), "m_shards": pa.int32(), "m_parts": pa.int32(), "source_size": pa.int64(), "target": pa.float64()})
+SHARD_SCHEMA = pa.schema({"m_no": pa.int32(), "m_shard": pa.int32()} | dict.fromkeys(("m_words", "m_blocks", "m_passes", "m_extra", "m_step", "m_shift"), pa.int64()))
 
 
-def _table(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
-    """Rows as a table to join with: broadcast up to BROADCAST_ROWS, by a shuffle beyond."""
-    table = like.sparkSession.createDataFrame(rows, schema)
+def _table(like: DataFrame, rows: list[tuple], schema: pa.Schema) -> DataFrame:
+    """Rows as a table to join with: broadcast up to BROADCAST_ROWS, by a shuffle beyond.
+
+    They go to Spark as Arrow columns.  A list of rows would start plain Python workers
+    in every executor, which stay beside those of the stages that follow.
+    """
+    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    table = like.sparkSession.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema))
     return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
 
 

@@ -65,6 +65,8 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def in_pieces(batch: pa.RecordBatch, most_bytes: int = 500_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts together stay near ``most_bytes``; one longer text is a slice of its own."""
+    # Workers live on: what Arrow keeps of earlier batches would stay beside the next ones.
+    pa.default_memory_pool().release_unused()
     ends = flat_bytes(batch.column("text"))[1][1:]
     start = 0
     while start < batch.num_rows:

@@ -399,6 +399,12 @@ def test_mix_of_odd_documents(odd_docs, no_docs):
     assert mix_quotas(no_docs).count() == mix_documents(no_docs).count() == 0
 
 
+def test_a_mix_starts_no_plain_python_workers(table):
+    for made in (mix_documents(table("documents")), mix_quotas(table("documents"))):
+        plan = made._jdf.queryExecution().toString()
+        assert "ExistingRDD" not in plan and "LogicalRDD" not in plan
+
+
 def test_a_mix_comes_again_as_it_was(spark):
     # Rows that share doc_id and size, in two orders and partitionings.
     rows = [(k % 3 if k % 5 else None, "ab"[k % 2], " ".join([f"w{k}"] * (5 + k % 2))) for k in range(300)]

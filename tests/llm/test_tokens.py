@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -88,6 +89,16 @@ def test_a_cache_that_is_full_gives_the_same_ids(monkeypatch):
     assert len(bpe._pieces) <= 40
 
 
+def test_a_cached_piece_takes_four_bytes_an_id():
+    with open(WORDS, encoding="utf-8") as f:
+        bpe = SegmentTreeBPE(f.read())
+    text = " ".join(f"word{k}x{k * 7919}" for k in range(3000))
+    # A piece is kept when it is seen again.
+    assert bpe.encode_all([text]) == bpe.encode_all([text])
+    assert len(bpe._pieces) == 3000
+    assert sum(sys.getsizeof(x) for x in bpe._pieces.values()) <= sum(sys.getsizeof(b"") + 4 * len(bpe.encode(x)) for x in bpe._pieces)
+
+
 def test_other_tokenizer_files_are_refused():
     with open(BYTES, encoding="utf-8") as f, pytest.raises(ValueError):
         SegmentTreeBPE(f.read())
